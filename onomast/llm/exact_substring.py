@@ -194,12 +194,13 @@ def _meet(batches: Iterator[pa.RecordBatch], hot: int) -> Iterator[pa.RecordBatc
 
 
 def _cut(part: pa.RecordBatch, length: int) -> dict:
-    """The contested segments of texts, with their bytes; of hot ones, a 128-bit hash for each start."""
+    """The contested segments of texts, with their bytes. Of hot ones, the first start of each string among these texts, by a
+    128-bit hash: later ones cannot be the first of all."""
     out: dict[str, list] = {k: [] for k in ("m", "h", "doc", "th", "lo", "n", "data")}
+    hot: list[tuple[np.ndarray, ...]] = []
     for text, at in zip(part.column(1), part.column(2), strict=True):
         b = (text.as_py() or "").encode("utf-8", "surrogatepass")
         th = zlib.crc32(b)
-        arr = None
         for x in at.as_py():
             if np.int32(x["th"]).view(np.uint32) != th:
                 continue
@@ -209,13 +210,20 @@ def _cut(part: pa.RecordBatch, length: int) -> dict:
                 for k, v in (("m", x["m"]), ("h", 0), ("doc", x["doc"]), ("th", x["th"]), ("lo", lo), ("n", n), ("data", own)):
                     out[k].append(v)
             else:
-                arr = np.frombuffer(own, np.uint8)
-                h = []
+                arr, h = np.frombuffer(own, np.uint8), []
                 for mult in (_MULT, _MULT2):
                     s, down = _sums(arr, mult)
-                    h.append(_mix((s[length:] - s[:-length]) * down[:n]).view(np.int64).tolist())
-                for k, v in (("m", h[0]), ("h", h[1]), ("doc", [x["doc"]] * n), ("th", [x["th"]] * n), ("lo", range(lo, lo + n)), ("n", [0] * n), ("data", [None] * n)):
-                    out[k].extend(v)
+                    h.append(_mix((s[length:] - s[:-length]) * down[:n]).view(np.int64))
+                hot.append((*h, np.full(n, x["doc"]), np.full(n, x["th"]), np.arange(lo, lo + n)))
+    if hot:
+        m, h, doc, th, lo = (np.concatenate(c) for c in zip(*hot, strict=True))
+        order = np.lexsort((lo, doc, h, m))
+        m, h, doc, th, lo = (c[order] for c in (m, h, doc, th, lo))
+        first = np.flatnonzero(np.r_[True, (m[1:] != m[:-1]) | (h[1:] != h[:-1])])
+        for k, c in (("m", m), ("h", h), ("doc", doc), ("th", th), ("lo", lo)):
+            out[k].extend(c[first].tolist())
+        out["n"].extend([0] * len(first))
+        out["data"].extend([None] * len(first))
     return out
 
 
@@ -374,7 +382,7 @@ def _starts(events: list[dict], th: int) -> list[tuple[int, int]]:
     return out
 
 
-def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = 256) -> DataFrame:
+def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = 1024) -> DataFrame:
     """doc_id, text, spans (array of begin, end in bytes: what repeats) of every row of `docs`.
 
     Order is by (doc_id, start); a null doc_id comes last. Rows that share a doc_id are told apart by their text; a
