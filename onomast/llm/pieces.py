@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import per_slice, texts_of
 
 SPACE = "▁"
-SLICE = 1 << 20
+SLICE = 3 << 19
 
 
 @dataclass(frozen=True)
@@ -68,9 +68,11 @@ class Vocabulary:
         self.keys, self.ids, self.weights = key[order], np.array(ids)[order], weight[order].astype(np.float32)
         if (self.keys[1:] == self.keys[:-1]).any():
             raise ValueError("two pieces share a hash")
-        # filters on 22 bits of the hash: of whole pieces, and of what begins a longer piece
-        self.whole = np.zeros(1 << 22, bool)
-        self.whole[(self.keys >> np.uint64(42)).astype(np.int64)] = True
+        # tables over 22 bits of the hash: of whole pieces, and of what begins a longer piece
+        slot = (self.keys >> np.uint64(42)).astype(np.int64)
+        self.slot = np.full(1 << 22, -1, np.int32)  # where a hash's first key stands among the sorted ones; few slots have more
+        self.slot[slot[::-1]] = np.arange(len(slot), dtype=np.int32)[::-1]
+        self.shared = int(np.bincount(slot).max())
         heads = np.array([self.key(np.array([ord(ch) for ch in p], np.uint64)) for p in {p[:j] for p in text for j in range(1, len(p))}], np.uint64)
         self.head = np.zeros(1 << 22, bool)
         self.head[(heads >> np.uint64(42)).astype(np.int64)] = True
@@ -128,7 +130,10 @@ def lattice(units: list[str], v: Vocabulary) -> Lattice:
     # a space is an edge's first character only at a unit's head; elsewhere the sign itself is spelt in bytes
     inner = chars == ord(SPACE)
     inner[start[size > 0]] = False
-    h, rows = np.zeros(n, np.uint64), np.arange(n)
+    # nodes next to their unit's end first: the backward sums take them in this order
+    h, rows = np.zeros(n, np.uint64), np.argsort(left.astype(np.uint16) if n and left.max() < 1 << 16 else left, kind="stable")
+    rank = np.empty(n, np.int32)
+    rank[rows] = np.arange(n, dtype=np.int32)
     for j in range(width):
         ok = (left[rows] > j) & ~inner[np.minimum(rows + j, n - 1)]
         rows, h = rows[ok], h[ok]
@@ -136,9 +141,15 @@ def lattice(units: list[str], v: Vocabulary) -> Lattice:
             break
         h = Vocabulary.step(h, chars[rows + j])
         bits = (h >> np.uint64(42)).astype(np.int64)
-        some = np.flatnonzero(v.whole[bits])
-        at = np.minimum(np.searchsorted(v.keys, h[some]), len(v.keys) - 1)
-        ok = v.keys[at] == h[some]
+        at = v.slot[bits]
+        some = np.flatnonzero(at >= 0)
+        at, mine = at[some], h[some]
+        ok = v.keys[at] == mine
+        for more in range(1, v.shared):
+            missed = np.flatnonzero(~ok)
+            nxt = np.minimum(at[missed] + more, len(v.keys) - 1)
+            hit = v.keys[nxt] == mine[missed]
+            at[missed[hit]], ok[missed[hit]] = nxt[hit], True
         edges.append((rows[some[ok]], np.full(int(ok.sum()), j), v.weights[at[ok]].astype(np.float64), v.ids[at[ok]]))
         if j == 0:
             spelt[edges[0][0]] = False
@@ -146,12 +157,13 @@ def lattice(units: list[str], v: Vocabulary) -> Lattice:
         rows, h = rows[ok], h[ok]
     # characters that are no piece: bytes, marked by piece -2
     none = np.flatnonzero(spelt)
+    none = none[np.argsort(rank[none])]
     c = chars[none]
-    edges.append((none, np.zeros(len(none), int), v.byte_weight * (1 + (c > 0x7F).astype(int) + (c > 0x7FF) + (c > 0xFFFF)), np.full(len(none), -2)))
+    edges.insert(0, (none, np.zeros(len(none), int), v.byte_weight * (1 + (c > 0x7F).astype(int) + (c > 0x7FF) + (c > 0xFFFF)), np.full(len(none), -2)))
     node, col, weight, ids = (np.concatenate(x) for x in zip(*edges, strict=True))
     width = int(col.max(initial=0)) + 1
     # backward sums, from the nodes next to their unit's end; each node has an edge
-    order = np.lexsort((col, node, left[node]))
+    order = np.argsort(rank[node], kind="stable")  # a merge: each column's edges are in order already
     node, col, weight, ids = node[order], col[order], weight[order], ids[order]
     head = np.flatnonzero(np.r_[True, node[1:] != node[:-1]]) if n else np.zeros(0, int)
     many = np.diff(np.r_[head, len(node)])
@@ -187,7 +199,7 @@ def lattice(units: list[str], v: Vocabulary) -> Lattice:
 class Store:
     """The lattices of the units seen so far, until they hold NODES nodes; then it begins anew."""
 
-    NODES = 1_000_000
+    NODES = 1_300_000
 
     def __init__(self, v: Vocabulary) -> None:
         self.v = v
@@ -199,7 +211,8 @@ class Store:
         self.known.default_factory = self.known.__len__
         self.used, self.cap = 0, cap
         self.start, self.end = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.prob, self.cum, self.piece = np.zeros((cap, width), np.float32), np.full((cap, width), 2, np.float32), np.full((cap, width), -1, np.int32)
+        if not hasattr(self, "prob") or len(self.prob) != cap:
+            self.prob, self.cum, self.piece = np.empty((cap, width), np.float32), np.empty((cap, width), np.float32), np.empty((cap, width), np.int32)
         self.points, self.is_end, self.top, self.rest = np.zeros(cap, np.uint64), np.zeros(cap + 1, bool), np.zeros(cap, np.int64), np.zeros(cap)
 
     def units(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -223,7 +236,8 @@ class Store:
     def _add(self, part: Lattice) -> None:
         at, n = slice(self.used, self.used + len(part.points)), len(part.points)
         w = part.prob.shape[1]
-        self.prob[at, :w], self.cum[at, :w], self.piece[at, :w] = part.prob, part.cum, part.piece
+        for own, new, rest in ((self.prob, part.prob, 0), (self.cum, part.cum, 2), (self.piece, part.piece, -1)):
+            own[at, :w], own[at, w:] = new, rest
         self.points[at], self.top[at], self.rest[at] = part.points, part.top, part.rest
         self.is_end[self.used : self.used + n + 1] |= part.is_end
         self.start, self.end = np.r_[self.start, part.start + self.used], np.r_[self.end, part.end + self.used]
