@@ -16,7 +16,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
 #: Bytes of text that a Python worker holds in working arrays at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+BATCH_ROWS = 2000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +47,12 @@ def settle_table(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the rows of an Arrow batch: texts are long, and a worker holds a batch or two."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts a batch into slices whose texts hold about `limit` bytes; one row may exceed it alone."""
     if batch.num_rows == 0:
@@ -60,6 +67,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
 
 def per_slice(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, object]], schema: str | StructType, text: str = "text", limit: int = SLICE_BYTES) -> DataFrame:
     """Applies `fn` to slices of Arrow batches; it returns column name -> array-like. Without `text`, batches are not cut."""
+    small_batches(df.sparkSession)
     made = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,9 +95,16 @@ def carried(docs: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, object]],
     """Like per_slice, with each row of `docs` beside what `fn` returns, as the struct `row`: its columns keep their names and
     cannot clash with the new ones. `fn` gets doc_id, text, row."""
     schema = StructType([StructField("row", docs.schema), *StructType.fromDDL(extra).fields])
-    part = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    small_batches(docs.sparkSession)
+    made = to_arrow_schema(schema)
 
-    def run(batch: pa.RecordBatch) -> dict:
-        return fn(batch) | {"row": batch.column(2)}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = batch.column(0)
+            view = pa.RecordBatch.from_arrays([row.field("doc_id"), row.field("text"), row], names=["doc_id", "text", "row"])
+            for part in slices(view, "text"):
+                got = fn(part) | {"row": part.column(2)}
+                yield pa.RecordBatch.from_arrays([got[f.name].cast(f.type) if isinstance(got[f.name], pa.Array) else pa.array(got[f.name], f.type) for f in made], schema=made)
 
-    return per_slice(part, run, schema)
+    return whole.mapInArrow(run, schema)

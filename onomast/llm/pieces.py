@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import per_slice, texts_of
 
 SPACE = "▁"
-SLICE = 3 << 19
+SLICE = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -199,7 +199,7 @@ def lattice(units: list[str], v: Vocabulary) -> Lattice:
 class Store:
     """The lattices of the units seen so far, until they hold NODES nodes; then it begins anew."""
 
-    NODES = 1_300_000
+    NODES = 600_000
 
     def __init__(self, v: Vocabulary) -> None:
         self.v = v
