@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -53,6 +54,15 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+def release() -> None:
+    """Gives a worker's freed memory back to the system: workers live on, and the next stage may need it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts a batch into slices whose texts hold about `limit` bytes; one row may exceed it alone."""
     if batch.num_rows == 0:
@@ -77,6 +87,7 @@ def per_slice(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, object]],
                 cols = [got[f.name] for f in made]
                 cols = [c.cast(f.type) if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, f.type) for c, f in zip(cols, made, strict=True)]
                 yield pa.RecordBatch.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in cols], schema=made)
+        release()
 
     return df.mapInArrow(run, schema)
 
@@ -106,5 +117,6 @@ def carried(docs: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, object]],
             for part in slices(view, "text"):
                 got = fn(part) | {"row": part.column(2)}
                 yield pa.RecordBatch.from_arrays([got[f.name].cast(f.type) if isinstance(got[f.name], pa.Array) else pa.array(got[f.name], f.type) for f in made], schema=made)
+        release()
 
     return whole.mapInArrow(run, schema)

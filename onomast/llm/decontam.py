@@ -44,7 +44,7 @@ class Config:
 class Words(dict):
     """Raw word -> number, filled as words come; the attributes of each number stand in arrays."""
 
-    LIMIT = 300_000
+    LIMIT = 100_000
 
     def __init__(self) -> None:
         super().__init__()

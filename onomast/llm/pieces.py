@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import per_slice, texts_of
 
 SPACE = "▁"
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -199,7 +199,7 @@ def lattice(units: list[str], v: Vocabulary) -> Lattice:
 class Store:
     """The lattices of the units seen so far, until they hold NODES nodes; then it begins anew."""
 
-    NODES = 600_000
+    NODES = 400_000
 
     def __init__(self, v: Vocabulary) -> None:
         self.v = v
@@ -493,11 +493,20 @@ def encode(docs: DataFrame, c: Config = Config()) -> DataFrame:
 
     def run(part: pa.RecordBatch) -> dict:
         _, got = _run(part, c)
-        return {"doc_id": part.column(0), "pieces": [[p.tolist() for p in x[0]] for x in got], "log_prob": [x[1] for x in got], "inclusion": [x[2] for x in got]}
+        return {"doc_id": part.column(0), "pieces": _nested([x[0] for x in got]), "log_prob": [x[1] for x in got], "inclusion": [x[2] for x in got]}
 
     return _sliced(docs, run, _OUT)
 
 
+def _nested(samples: list[list[np.ndarray]]) -> pa.Array:
+    """Lists of lists of ids, without a Python object for each id."""
+    flat = [p for x in samples for p in x]
+    inner = pa.array(np.r_[0, np.cumsum([len(p) for p in flat])].astype(np.int32))
+    outer = pa.array(np.r_[0, np.cumsum([len(x) for x in samples])].astype(np.int32))
+    ids = pa.array(np.concatenate(flat).astype(np.int32) if flat else np.zeros(0, np.int32))
+    return pa.ListArray.from_arrays(outer, pa.ListArray.from_arrays(inner, ids))
+
+
 def _sliced(docs: DataFrame, run, schema: str) -> DataFrame:
     return per_slice(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, schema, limit=SLICE)
 

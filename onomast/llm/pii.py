@@ -223,7 +223,7 @@ def _moved(x: np.ndarray, place: int) -> np.ndarray:
 class Seen(dict):
     """Word -> number of its (shape, word) pair; bounded."""
 
-    LIMIT = 300_000
+    LIMIT = 100_000
 
     def __init__(self, f: Field) -> None:
         super().__init__()
