@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from xml.etree import ElementTree
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,7 +51,10 @@ def read_corpus(spark: SparkSession, glob: str) -> DataFrame:
 
     Files are numbered by path in one small aggregation over paths; contents are parsed where they are read.
     """
-    files = spark.read.format("binaryFile").load(glob)
+    try:
+        files = spark.read.format("binaryFile").load(glob)
+    except AnalysisException as e:
+        raise FileNotFoundError(f"no file matches {glob}") from e
     paths = files.select("path").distinct().orderBy("path")
     order = [r["path"] for r in paths.toLocalIterator()]
     if not order:
