@@ -60,6 +60,8 @@ class Vocabulary:
                 text.append(p)
                 ids.append(i)
         self.longest = max(map(len, text))
+        self.width = -(-self.longest // 8) * 8  # columns of a lattice, eight to a word
+        self.id_type = np.int16 if size < 1 << 15 else np.int32
         rank = np.maximum(np.array([-m.get_score(i) for i in ids]), 1.0)
         weight = -alpha * (np.log(rank + 1) + np.log(np.log(size)))
         self.byte_weight = -alpha * (np.log(size) + np.log(np.log(size)))
@@ -118,25 +120,28 @@ class Lattice:
     rest: np.ndarray
 
 
-def lattice(units: list[str], v: Vocabulary) -> Lattice:
+def lattice(units: list[str], v: Vocabulary, into: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None) -> Lattice:
+    """The lattice of the units; `into` are rows of a larger one's prob, cum and piece to write to."""
     chars = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     size = np.fromiter(map(len, units), np.int64, len(units))
     end = np.cumsum(size)
     start = end - size
-    n, width = len(chars), v.longest
+    n = len(chars)
     left = np.repeat(end, size) - np.arange(n)
     edges: list[tuple[np.ndarray, ...]] = []
     spelt = np.ones(n, bool)
     # a space is an edge's first character only at a unit's head; elsewhere the sign itself is spelt in bytes
     inner = chars == ord(SPACE)
     inner[start[size > 0]] = False
+    spaced = bool(inner.any())
     # nodes next to their unit's end first: the backward sums take them in this order
     h, rows = np.zeros(n, np.uint64), np.argsort(left.astype(np.uint16) if n and left.max() < 1 << 16 else left, kind="stable")
     rank = np.empty(n, np.int32)
     rank[rows] = np.arange(n, dtype=np.int32)
-    for j in range(width):
-        ok = (left[rows] > j) & ~inner[np.minimum(rows + j, n - 1)]
-        rows, h = rows[ok], h[ok]
+    if spaced:
+        rows = rows[~inner[rows]]
+        h = h[: len(rows)]
+    for j in range(v.longest):
         if not len(rows):
             break
         h = Vocabulary.step(h, chars[rows + j])
@@ -153,7 +158,9 @@ def lattice(units: list[str], v: Vocabulary) -> Lattice:
         edges.append((rows[some[ok]], np.full(int(ok.sum()), j), v.weights[at[ok]].astype(np.float64), v.ids[at[ok]]))
         if j == 0:
             spelt[edges[0][0]] = False
-        ok = v.head[bits]
+        ok = v.head[bits] & (left[rows] > j + 1)
+        if spaced:
+            ok &= ~inner[np.minimum(rows + j + 1, n - 1)]
         rows, h = rows[ok], h[ok]
     # characters that are no piece: bytes, marked by piece -2
     none = np.flatnonzero(spelt)
@@ -161,7 +168,6 @@ def lattice(units: list[str], v: Vocabulary) -> Lattice:
     c = chars[none]
     edges.insert(0, (none, np.zeros(len(none), int), v.byte_weight * (1 + (c > 0x7F).astype(int) + (c > 0x7FF) + (c > 0xFFFF)), np.full(len(none), -2)))
     node, col, weight, ids = (np.concatenate(x) for x in zip(*edges, strict=True))
-    width = int(col.max(initial=0)) + 1
     # backward sums, from the nodes next to their unit's end; each node has an edge
     order = np.argsort(rank[node], kind="stable")  # a merge: each column's edges are in order already
     node, col, weight, ids = node[order], col[order], weight[order], ids[order]
@@ -178,69 +184,96 @@ def lattice(units: list[str], v: Vocabulary) -> Lattice:
         top = np.maximum.reduceat(z, at)
         beta[node[head[x:y]]] = top + np.log(np.add.reduceat(np.exp(z - np.repeat(top, size)), at))
     p = np.exp(weight + beta[after] - beta[node])
-    best, rest, prob, piece = np.zeros(n, np.int64), np.zeros(n), np.zeros((n, width), np.float32), np.full((n, width), -1, np.int32)
+    best, rest = np.zeros(n, np.int8), np.zeros(n)
+    prob, cum, piece = into or (np.empty((n, v.width), np.float32), np.empty((n, v.width), np.float32), np.empty((n, v.width), v.id_type))
+    prob[:], piece[:] = 0, -1
     prob[node, col], piece[node, col] = p, ids
-    cum = np.full((n, width), 2.0, np.float32)
     if n:
         nth = np.repeat(np.maximum.reduceat(p, head), many) == p
         nth &= np.r_[True, (node[1:] != node[:-1]) | ~nth[:-1]]  # one likeliest edge, or ties side by side
         best[node[nth]] = col[nth]
         others = np.where(best[node] == col, 0.0, p)
         rest[node[head]] = np.add.reduceat(others, head)
-        np.cumsum(prob, 1, out=cum)
-        last = np.zeros(n, np.int64)
-        last[node] = col  # edges are in order, the last one stays; rounding must not lead past it
-        cum[np.arange(width)[None] >= last[:, None]] = 2.0
+        cum[:] = prob
+        tail = np.r_[head[1:], len(node)] - 1
+        cum[node[tail], col[tail]] = 2.0  # rounding must not lead past a node's last edge
+        for j in range(1, v.width):
+            cum[:, j] += cum[:, j - 1]
     is_end = np.zeros(n + 1, bool)
     is_end[end] = True
     return Lattice(start, end, prob, cum, piece, chars, is_end, best, rest)
 
 
 class Store:
-    """The lattices of the units seen so far, until they hold NODES nodes; then it begins anew."""
+    """The lattices of the units seen so far, until they hold NODES nodes; then those used most stay, up to KEPT nodes."""
 
-    NODES = 400_000
+    NODES, KEPT = 400_000, 150_000
 
     def __init__(self, v: Vocabulary) -> None:
-        self.v = v
-        self.reset(0)
+        self.v, self.need = v, 0
+        self._room(self.NODES)
 
-    def reset(self, nodes: int) -> None:
-        cap, width = max(self.NODES, nodes), self.v.longest
+    def _room(self, cap: int) -> None:
         self.known: defaultdict[str, int] = defaultdict()
         self.known.default_factory = self.known.__len__
-        self.used, self.cap = 0, cap
-        self.start, self.end = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if not hasattr(self, "prob") or len(self.prob) != cap:
-            self.prob, self.cum, self.piece = np.empty((cap, width), np.float32), np.empty((cap, width), np.float32), np.empty((cap, width), np.int32)
-        self.points, self.is_end, self.top, self.rest = np.zeros(cap, np.uint64), np.zeros(cap + 1, bool), np.zeros(cap, np.int64), np.zeros(cap)
-
-    def units(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The number of each unit of the texts, and how many each text has."""
-        before = len(self.known)
-        kinds, count = [], np.zeros(len(texts), np.int64)
+        self.used, self.cap, width = 0, cap, self.v.width
+        self.start, self.end, self.uses = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.prob, self.cum, self.piece = np.empty((cap, width), np.float32), np.empty((cap, width), np.float32), np.empty((cap, width), self.v.id_type)
+        self.points, self.is_end, self.top, self.rest = np.zeros(cap, np.uint32), np.zeros(cap + 1, bool), np.zeros(cap, np.int8), np.zeros(cap)
+
+    def _shrink(self, names: list[str]) -> None:
+        """Forgets all units but the most used of `names`, whose uses count half from now on."""
+        size = self.end - self.start
+        order = np.argsort(-self.uses, kind="stable")
+        stay = np.sort(order[np.cumsum(size[order]) <= self.KEPT])
+        rows, n = _ranges(self.start[stay], size[stay]), int(size[stay].sum())
+        for x in (self.prob, self.cum, self.piece, self.points, self.top, self.rest):
+            x[:n] = x[rows]
+        self.end = np.cumsum(size[stay])
+        self.start, self.uses, self.used = self.end - size[stay], self.uses[stay] >> 1, n
+        self.is_end[:] = False
+        self.is_end[self.end] = True
+        self.known.clear()
+        self.known.update(zip([names[i] for i in stay.tolist()], range(len(stay)), strict=True))
+
+    def _numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        before, kinds, count = len(self.known), [], np.zeros(len(texts), np.int64)
+        number = self.known.__getitem__
         for i, t in enumerate(texts):
             parts = t.split(" ") if t else []
             count[i] = len(parts)
-            kinds.extend(map(self.known.__getitem__, parts))
-        new = [SPACE + p for p in islice(self.known, before, None)]
-        if new:
+            kinds.extend(map(number, parts))
+        return np.array(kinds, np.int64), count, [SPACE + p for p in islice(self.known, before, None)]
+
+    def units(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each unit of the texts, and how many each text has."""
+        if self.used + self.need > self.cap and len(self.uses):  # as many new nodes as last time would not fit
+            self._shrink(list(self.known))
+        kinds, count, new = self._numbers(texts)
+        self.need = need = sum(map(len, new))
+        if self.used + need > self.cap and len(self.uses):
+            self._shrink(list(islice(self.known, len(self.uses))))
+            kinds, count, new = self._numbers(texts)
+            need = sum(map(len, new))
+        if self.used + need > self.cap or (self.cap > self.NODES and self.used + need <= self.NODES):
+            self._room(self.NODES)
+            kinds, count, new = self._numbers(texts)
             need = sum(map(len, new))
-            if self.used + need > self.cap:
-                if before or need > self.cap:
-                    self.reset(need)
-                    return self.units(texts)
-            self._add(lattice(new, self.v))
-        return np.array(kinds, np.int64), count
-
-    def _add(self, part: Lattice) -> None:
-        at, n = slice(self.used, self.used + len(part.points)), len(part.points)
-        w = part.prob.shape[1]
-        for own, new, rest in ((self.prob, part.prob, 0), (self.cum, part.cum, 2), (self.piece, part.piece, -1)):
-            own[at, :w], own[at, w:] = new, rest
+            if need > self.cap:  # a very long text: room for it alone
+                self._room(need)
+                kinds, count, new = self._numbers(texts)
+        if new:
+            self._add(new, need)
+        self.uses += np.bincount(kinds, minlength=len(self.uses))
+        return kinds, count
+
+    def _add(self, new: list[str], n: int) -> None:
+        at = slice(self.used, self.used + n)
+        part = lattice(new, self.v, (self.prob[at], self.cum[at], self.piece[at]))
         self.points[at], self.top[at], self.rest[at] = part.points, part.top, part.rest
         self.is_end[self.used : self.used + n + 1] |= part.is_end
         self.start, self.end = np.r_[self.start, part.start + self.used], np.r_[self.end, part.end + self.used]
+        self.uses = np.r_[self.uses, np.zeros(len(new), np.int64)]
         self.used += n
 
     def lattice(self) -> Lattice:
@@ -272,7 +305,8 @@ def _walk(lat: Lattice, cur: np.ndarray, end: np.ndarray, key: np.ndarray, unit:
     while len(rows):
         node = cur[rows]
         u = _uniform(key[rows], sample[rows], unit[rows], np.uint64(step) + np.zeros(len(rows), np.uint64))
-        edge = (lat.cum.take(node, 0) < u.astype(np.float32)[:, None]).sum(1)
+        passed = lat.cum.take(node, 0) < u.astype(np.float32)[:, None]
+        edge = np.bitwise_count(passed.view(np.uint64)).sum(1, dtype=np.int64)
         out.append((rows, node, edge))
         cur[rows] = node + edge + 1
         rows = rows[cur[rows] < end[rows]]

@@ -229,6 +229,22 @@ def test_secrets_base_and_battery(spark):
     assert secrets.combined(secrets.battery(raw, "alnum")) > 0.001
 
 
+def test_pieces_do_not_depend_on_what_the_store_keeps(monkeypatch):
+    texts = ["", " ", "  a", "▁x ▁", "ééé", "中文 😀", "x" * 3000, "a b  c\n", *(f"word{i % 7} number {i} again and again" for i in range(120))]
+    keys = np.arange(len(texts))
+
+    def run():
+        pieces.store.cache_clear()
+        got = [x for i in range(0, len(texts), 16) for x in pieces.encode_texts(texts[i : i + 16], keys[i : i + 16])]
+        return [([p.tolist() for p in a], b, c) for a, b, c in got]
+
+    large = run()
+    monkeypatch.setattr(pieces.Store, "NODES", 400)
+    monkeypatch.setattr(pieces.Store, "KEPT", 150)
+    assert run() == large
+    pieces.store.cache_clear()
+
+
 def test_pieces_round_trip_distinct_and_distribution():
     v, c = pieces.vocabulary("", 1.0), pieces.Config(samples=4)
     texts = ["", "a", " ", "Hello  wörld\n\tfoo  é　x ﬁ", "▁x ▁", "日本語 テスト 😀", "x" * 300, "river stone " * 50]
