@@ -35,8 +35,8 @@ ENCODINGS = (
     ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
 )
-#: Lower ends of the length classes, and the bins of p-values that the control counts.
-LENGTHS, BINS = (20, 28, 40, 64, 128), 200
+#: Lower ends of the length classes; the control counts p-values in so many bins a decade, down to 1e-300.
+LENGTHS, DECADE, BINS = (20, 28, 40, 64, 128), 20, 6001
 Span = tuple[str, int, int]
 
 
@@ -126,15 +126,21 @@ def suspects(text: str, base: list[Span]) -> list[tuple[int, int, int, float]]:
     return out
 
 
+def p_bin(p: float) -> int:
+    """The bin of a p-value: bin b holds those from 10 ** (-(b + 1) / DECADE) up to 10 ** (-b / DECADE), the last one all below."""
+    return min(int(-DECADE * math.log10(max(min(p, 1.0), 1e-300))), BINS - 1)
+
+
 def cut_offs(counts: dict[tuple[int, int], int], false_rate: float) -> dict[int, int]:
-    """For each length class the last bin of p-values that is called not random (-1: none): step-up control on counts."""
+    """For each length class the first bin that is called not random, with all of smaller p-values (BINS: none): step-up
+    control on counts, each bin at its upper edge."""
     out = {}
     for cls in {k for k, _ in counts}:
         total = sum(n for (k, _), n in counts.items() if k == cls)
-        seen, out[cls] = 0, -1
-        for b in range(BINS):
+        seen, out[cls] = 0, BINS
+        for b in reversed(range(BINS)):
             seen += counts.get((cls, b), 0)
-            if seen and (b + 1) / BINS <= false_rate * seen / total:
+            if seen and 10 ** (-b / DECADE) <= false_rate * seen / total:
                 out[cls] = b
     return out
 
@@ -146,7 +152,7 @@ def scan(docs: DataFrame, c: Config = Config()) -> DataFrame:
     """doc_id, base, random: arrays of (kind, begin, end) in code points, of every row of `docs`.
 
     Two passes: spans and suspects of each text are settled, counts of suspects by length class and bin of p-value (at
-    most 1,000 rows) give the cut-offs, and these are applied. Null and empty texts have none. Repeated rows each
+    most 30,005 rows) give the cut-offs, and these are applied. Null and empty texts have none. Repeated rows each
     give a row and count; columns besides doc_id and text are ignored; an empty table gives none.
     """
 
@@ -155,7 +161,7 @@ def scan(docs: DataFrame, c: Config = Config()) -> DataFrame:
         for t in texts_of(part):
             b = base_spans(t)
             base.append([{"kind": k, "begin": x, "end": y, "cls": -1, "bin": -1} for k, x, y in b])
-            more.append([{"kind": "random", "begin": x, "end": y, "cls": k, "bin": min(int(p * BINS), BINS - 1)} for x, y, k, p in suspects(t, b)])
+            more.append([{"kind": "random", "begin": x, "end": y, "cls": k, "bin": p_bin(p)} for x, y, k, p in suspects(t, b)])
         return {"doc_id": part.column(0), "base": base, "random": more}
 
     found = settle_table(per_slice(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, f"doc_id long, base {_ONE}, random {_ONE}"))
@@ -163,7 +169,7 @@ def scan(docs: DataFrame, c: Config = Config()) -> DataFrame:
     cut = cut_offs({(r["cls"], r["bin"]): r["count"] for r in rows}, c.false_rate)
     keep = F.lit(False)
     limit = F.create_map(*[F.lit(v) for kv in cut.items() for v in kv]) if cut else None
-    random = F.filter("random", lambda x: x["bin"] > F.element_at(limit, x["cls"])) if cut else F.filter("random", lambda x: keep)
+    random = F.filter("random", lambda x: x["bin"] < F.element_at(limit, x["cls"])) if cut else F.filter("random", lambda x: keep)
     return found.select("doc_id", "base", random.alias("random"))
 
 
