@@ -202,10 +202,15 @@ def judge(hits: list[dict], c: Config) -> tuple[float, int, bool]:
     return best, longest, changed
 
 
+def _key():
+    """A row's id and text in 128 bits: rows that share an id, or have none, are judged each by its own text."""
+    return F.md5(F.concat(F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit("")))).alias("__key")
+
+
 def found(docs: DataFrame, benchmark: DataFrame, c: Config = Config()) -> DataFrame:
-    """doc_id, item_id, share, run, changed: documents with an item's template.
+    """__key, doc_id, item_id, share, run, changed: documents with an item's template.
 
-    A document is named once for each item, repeated rows and rows that share a doc_id together. Null and empty texts
+    A document is named once for each item, rows of one id and text together. Null and empty texts
     and items under `least` words match nothing.
     """
     items = item_windows(benchmark, c)
@@ -217,33 +222,33 @@ def found(docs: DataFrame, benchmark: DataFrame, c: Config = Config()) -> DataFr
 
     def run(part: pa.RecordBatch) -> dict:
         hits, _ = run_of(texts_of(part))
-        return {"doc_id": part.column(0), "w": hits}
+        return {"__key": part.column(0), "doc_id": part.column(1), "w": hits}
 
-    hits = per_slice(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, f"doc_id long, w {_WINDOWS}")
-    hits = hits.where(F.size("w") > 0).select("doc_id", F.inline("w"))
+    hits = per_slice(docs.select(_key(), F.col("doc_id").cast("long").alias("doc_id"), "text"), run, f"__key string, doc_id long, w {_WINDOWS}")
+    hits = hits.where(F.size("w") > 0).select("__key", "doc_id", F.inline("w"))
     right = items.select("item_id", "words", "key", "size", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"))
     if small:
         right = F.broadcast(right)  # at most `broadcast_windows` windows
-    pairs = hits.join(right, ["key", "size"]).groupBy("doc_id", "item_id").agg(F.collect_list(F.struct("at", "size", "slots", "item_at", "item_slots", "words")).alias("hits"))
+    pairs = hits.join(right, ["key", "size"]).groupBy("__key", "doc_id", "item_id").agg(F.collect_set(F.struct("at", "size", "slots", "item_at", "item_slots", "words")).alias("hits"))
 
     def decide(part: pa.RecordBatch) -> dict:
-        got = [judge(x, c) for x in part.column(2).to_pylist()]
-        return {"doc_id": part.column(0), "item_id": part.column(1), "share": [x[0] for x in got], "run": [x[1] for x in got], "changed": [x[2] for x in got]}
+        got = [judge(x, c) for x in part.column(3).to_pylist()]
+        return {"__key": part.column(0), "doc_id": part.column(1), "item_id": part.column(2), "share": [x[0] for x in got], "run": [x[1] for x in got], "changed": [x[2] for x in got]}
 
-    out = per_slice(pairs, decide, "doc_id long, item_id long, share double, run int, changed boolean", text="")
+    out = per_slice(pairs, decide, "__key string, doc_id long, item_id long, share double, run int, changed boolean", text="")
     return out.where((F.col("share") >= c.share) | (F.col("run") >= c.run))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, c: Config = Config()) -> DataFrame:
-    """The rows of `docs`, all columns, without contaminated ones; a null doc_id stays only if no null id is named."""
-    bad = found(docs, benchmark, c).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("__bad")), "left_anti")
+    """The rows of `docs`, all columns, without contaminated ones."""
+    bad = found(docs, benchmark, c).select("__key").distinct()
+    return docs.withColumn("__key", _key()).join(bad, "__key", "left_anti").select(*[F.col(f"`{x}`") for x in docs.columns])
 
 
 def query(docs: DataFrame, benchmark: DataFrame, c: Config = Config()) -> DataFrame:
     """op4: doc_id, contaminated, items (sorted ids), share, changed; a row for each row of `docs`."""
-    named = found(docs, benchmark, c).groupBy(F.col("doc_id").alias("__id")).agg(F.array_sort(F.collect_set("item_id")).alias("items"), F.max("share").alias("share"), F.bool_or("changed").alias("changed"))
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    got = ids.join(named, F.col("doc_id").eqNullSafe(F.col("__id")), "left")
+    named = found(docs, benchmark, c).groupBy("__key").agg(F.array_sort(F.collect_set("item_id")).alias("items"), F.max("share").alias("share"), F.bool_or("changed").alias("changed"))
+    ids = docs.select(_key(), F.col("doc_id").cast("long").alias("doc_id"))
+    got = ids.join(named, "__key", "left")
     none = F.array().cast("array<long>")
     return got.select("doc_id", F.col("items").isNotNull().alias("contaminated"), F.coalesce("items", none).alias("items"), F.coalesce("share", F.lit(0.0)).alias("share"), F.coalesce("changed", F.lit(False)).alias("changed"))
