@@ -545,6 +545,11 @@ def _sliced(docs: DataFrame, run, schema: str) -> DataFrame:
     return per_slice(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, schema, limit=SLICE)
 
 
+def round_trip(samples: list[np.ndarray], text: str, v: Vocabulary) -> bool:
+    """Whether every sample decodes to the text."""
+    return all(decode(p.tolist(), v) == text for p in samples)
+
+
 def query(docs: DataFrame, c: Config = Config()) -> DataFrame:
     """op9: of each text's samples, sizes, log probabilities, inclusion scores and a digest of the ids; and whether all of them are
     distinct and decode to the text."""
@@ -553,8 +558,7 @@ def query(docs: DataFrame, c: Config = Config()) -> DataFrame:
         v = vocabulary(c.model, c.alpha)
         texts, got = _run(part, c)
         digest = [[hashlib.sha256(p.astype("<i4").tobytes()).hexdigest() for p in x[0]] for x in got]
-        # the first sample is decoded byte for byte here, all of them in the tests
-        exact = [decode(x[0][0].tolist(), v) == t and len(set(d)) == len(d) for x, t, d in zip(got, texts, digest, strict=True)]
+        exact = [round_trip(x[0], t, v) and len(set(d)) == len(d) for x, t, d in zip(got, texts, digest, strict=True)]
         return {"doc_id": part.column(0), "n_pieces": [[len(p) for p in x[0]] for x in got], "log_prob": [x[1] for x in got], "inclusion": [x[2] for x in got], "ids_sha256": digest, "round_trip": exact}
 
     return _sliced(docs, run, "doc_id long, n_pieces array<int>, log_prob array<double>, inclusion array<double>, ids_sha256 array<string>, round_trip boolean")
