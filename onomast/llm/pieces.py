@@ -7,6 +7,9 @@ the prefix whose best completion has the largest Gumbel-perturbed log probabilit
 leads straight to one new segmentation and leaves one deviation bound for each of its nodes. The k+1-st largest
 value gives each sample's inclusion probability.
 
+Pieces with a space sign after their first character are left out, 14 runs of spaces in the installed model: segmentations that
+use them have probability 0 here, and log probabilities and inclusion are those of the lattice without them.
+
 Random numbers are hashes of the row key, the sample, the unit and the step: results do not depend on batches or tasks.
 """
 
