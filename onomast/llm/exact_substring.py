@@ -6,8 +6,8 @@ equal least hashes, so runs of starts that share one (segments) can be compared
 1. each task finds segments and drops those it has already seen, byte for byte by a 128-bit hash; their starts repeat.
 2. the rest are dealt out by least hash. Equal segments of different tasks meet: all but the first repeat. A least hash
    with one segment is settled; one with several different segments is contested.
-3. contested segments fetch their bytes and are dealt out again. Their suffixes are sorted to `length` bytes: multikey
-   quicksort to a shallow depth, then blind tries for the groups that still agree. All but the first of
+3. contested segments fetch their bytes and are dealt out again. Their suffixes are sorted to `length` bytes: by
+   words of 8 bytes (lexsort, in place of a multikey quicksort) to a shallow depth, then blind tries for the groups that still agree. All but the first of
    equal strings repeat.
 4. a least hash with more than `hot` different segments (a passage in many contexts) is split by whole strings instead:
    an aggregation keeps the first start of each string, combined before the shuffle.
@@ -279,7 +279,7 @@ class BlindTrie:
 def deep_shallow(data: bytes, at: np.ndarray, group: np.ndarray, length: int = LENGTH, shallow: int = SHALLOW) -> list[np.ndarray]:
     """Classes of two or more equal `length`-byte strings among those that start at `at` and share a group.
 
-    Multikey quicksort on words of 8 bytes, all groups in one pass, down to `shallow` bytes; then a blind trie for
+    Lexsort on words of 8 bytes, in place of a multikey quicksort, all groups in one pass, down to `shallow` bytes; then a blind trie for
     each group that is left.
     """
     arr = np.frombuffer(data + b"\0" * 8, np.uint8)
