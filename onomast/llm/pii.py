@@ -1,7 +1,8 @@
 """Personal data: exact base patterns, and a linear-chain conditional random field over word shapes.
 
-The field is trained in numpy from the small labelled table below and decoded by Viterbi over batches of windows that
-cover every word of every text. It adds spans of kinds that have no fixed pattern; base spans always stay.
+The field is trained in numpy from the small labelled table of `pii_table`, once, on the driver, and decoded by Viterbi over
+batches of windows that cover every word of every text. What it labels is reported as it is; only spans that overlap a
+base span are left out. Base spans always stay.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -17,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import pii_table
 from .common import carried, per_slice, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
@@ -77,140 +79,172 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
-# The labelled table: words with /n (name), /s (street), /i (identity number) or no mark.
-TABLE = """
-Dear Mr. Harold/n Finch/n , thank you for the letter .
-Please ask Mrs. Anna/n Lindqvist/n about the plan .
-my name is Peter/n Novak/n and I live here .
-Name: Maria/n Gonzalez/n
-Contact: Dr. Samuel/n Osei/n at the clinic .
-The patient , Ms. Clara/n Whitfield/n , was seen today .
-signed by Dr. Ingrid/n Maurer/n on Monday .
-Herr Klaus/n Berger/n und Frau Ute/n Berger/n wohnen hier .
-Monsieur Jean/n Dupuis/n et Madame Claire/n Dupuis/n sont venus .
-Señor Pablo/n Ortega/n y Señora Elena/n Ortega/n llegaron .
-She lives at 12/s Baker/s Street/s in the town .
-Send it to 4500/s Oak/s Avenue/s , please .
-The office at 77/s Mill/s Road/s is closed .
-Address: 9/s Station/s Lane/s
-He moved to 310/s Cedar/s Drive/s last year .
-SSN: 123-45-6789/i
-His SSN is 987-65-4321/i , she said .
-passport number 345-22-9081/i was stolen .
-Passport: 612-33-0987/i
-The quick fox ran over the hill . It was fast .
-Then the town was quiet . People slept . Nothing moved .
-Of the three , one was red and two were blue .
-And so it goes , The end . There are 12 apples and 45 pears .
-In 1998 the price was 4,500 and the share 12% of it .
-Der Hund und die Katze sind im Haus . Es regnet .
-La casa es grande y el perro corre . Llueve mucho .
-Le chat dort dans la maison . Il pleut beaucoup .
-THE SALE IS ON!! BUY NOW!! CALL THE STORE!!
-word*** other$$$ thing&&& more%%% Name### done
-red | green | Blue | yellow. | Black | white
-Version 2.0 of the file was sent 10 days ago .
-Chapter 4 begins . Oak trees grow by the road . The street was long .
-The name of the rose . A name is a name . My road , my street .
-Call 555-1234 or write . The number is 42 . Code 7781-22 failed .
-Mr. and Mrs. were titles . Dr. is short for doctor .
-""".strip().splitlines()
-
-
 def _shape(word: str) -> str:
     """Letter case, digit runs by length, and marks; inner repeats are cut."""
     out = []
     for m in re.finditer(r"(?P<d>[0-9]+)|(?P<u>[^\W\d_a-zß-öø-ÿ]+)|(?P<l>[^\W\d_]+)|(?P<o>.)", word):
-        out.append(f"d{min(len(m[0]), 5)}" if m.lastgroup == "d" else ("X" if len(m[0]) == 1 else "XX") if m.lastgroup == "u" else "x" if m.lastgroup == "l" else m[0])
-        if len(out) > 7:
+        if m.lastgroup == "d":
+            n = len(m[0])
+            out.append(f"d{n if n < 6 else '6-9' if n < 10 else '10-12' if n < 13 else '13-19' if n < 20 else '20+'}")
+        else:
+            out.append(("X" if len(m[0]) == 1 else "XX") if m.lastgroup == "u" else "x" if m.lastgroup == "l" else m[0])
+        if len(out) > 9:
             break
     return "".join(out)
 
 
+def _class(ch: str) -> str:
+    return "d" if ch in "0123456789" else ("X" if ch.isupper() else "x") if ch.isalpha() else ch if ch in ".,;:!?\"'()-@/" else "o"
+
+
+def _coarse(word: str) -> str:
+    """The classes of the first, second and last character, and whether a digit is there: known for words of any shape."""
+    return f"{_class(word[0])}{_class(word[1]) if len(word) > 2 else ''} {_class(word[-1])} {'d' if any(ch in '0123456789' for ch in word) else ''}"
+
+
+_STREET_END = re.compile(rf".+({'|'.join(pii_table.GERMAN_WORDS)})$")
+
+
 def _core(word: str) -> str:
-    return word.strip("\"'()[]{}.,;:!?").lower()
+    """The word without marks, in lower case; of a street's name in one word its end."""
+    low = word.strip("\"'()[]{}.,;:!?").lower()
+    m = _STREET_END.match(low)
+    return f"-{m[1]}" if m else low
+
+
+def _again(number: np.ndarray) -> np.ndarray:
+    """Whether a word is the one before it or after it: SAME or OTHER."""
+    same = np.zeros(number.shape, bool)
+    same[..., 1:] = number[..., 1:] == number[..., :-1]
+    same[..., :-1] |= same[..., 1:]
+    return np.where(same, SAME, OTHER)
+
+
+#: Numbers of a shape or word: 0 is one that the table lacks, and says nothing; 1 is the edge of a text or line.
+UNKNOWN, EDGE = 0, 1
+#: Numbers of a word that is repeated, and of one that is not.
+SAME, OTHER = 2, 3
+PLACES = (-2, -1, 0, 1, 2)
 
 
 @dataclass
 class Field:
-    """Weights: one table for each place (-2 to +2) of shapes and of words, and transitions."""
+    """Weights: one table for each place (-2 to +2) of shapes, coarse shapes and words, and repetition, and transitions."""
 
     shapes: dict[str, int]
+    coarse: dict[str, int]
     words: dict[str, int]
     shape_w: np.ndarray
+    coarse_w: np.ndarray
     word_w: np.ndarray
+    again_w: np.ndarray
     trans: np.ndarray
     start: np.ndarray
-    places: tuple[int, ...] = field(default=(-2, -1, 0, 1, 2))
 
 
-def _forward_backward(e: np.ndarray, mask: np.ndarray, trans: np.ndarray, start: np.ndarray):
-    """Marginals of labels and of neighbouring labels, for padded sentences."""
+def _forward_backward(e: np.ndarray, mask: np.ndarray, trans: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Marginals of labels, and the expected number of each pair of neighbouring labels, for padded sentences; in probabilities
+    that each step scales to 1."""
     n, t, k = e.shape
-    lse = lambda z, ax: z.max(ax) + np.log(np.exp(z - z.max(ax, keepdims=True)).sum(ax))
-    a, b = np.zeros((n, t, k)), np.zeros((n, t, k))
-    a[:, 0] = start + e[:, 0]
+    p, move = np.exp(e - e.max(2, keepdims=True)), np.exp(trans - trans.max())
+    a, b = np.zeros((n, t, k)), np.ones((n, t, k))
+    a[:, 0] = p[:, 0] * np.exp(start - start.max())
+    a[:, 0] /= a[:, 0].sum(1, keepdims=True)
     for i in range(1, t):
-        a[:, i] = np.where(mask[:, i, None], lse(a[:, i - 1, :, None] + trans, 1) + e[:, i], a[:, i - 1])
+        z = (a[:, i - 1] @ move) * p[:, i]
+        a[:, i] = np.where(mask[:, i, None], z / z.sum(1, keepdims=True), a[:, i - 1])
     for i in range(t - 2, -1, -1):
-        b[:, i] = np.where(mask[:, i + 1, None], lse(trans + (e[:, i + 1] + b[:, i + 1])[:, None], 2), b[:, i + 1])
-    z = lse(a[:, -1], 1)
-    node = np.exp(a + b - z[:, None, None]) * mask[..., None]
-    pair = np.exp(a[:, :-1, :, None] + trans + (e[:, 1:] + b[:, 1:])[:, :, None] - z[:, None, None, None]) * mask[:, 1:, None, None]
+        z = (b[:, i + 1] * p[:, i + 1]) @ move.T
+        b[:, i] = np.where(mask[:, i + 1, None], z / z.sum(1, keepdims=True), b[:, i + 1])
+    node = a * b
+    node *= mask[..., None] / node.sum(2, keepdims=True)
+    left, right = a[:, :-1], b[:, 1:] * p[:, 1:]
+    total = np.einsum("ntj,jk,ntk->nt", left, move, right, optimize=True)
+    pair = np.einsum("ntj,ntk->jk", left * (mask[:, 1:] / total)[..., None], right, optimize=True) * move
     return node, pair
 
 
+class _Adder:
+    """Sums rows by number; the numbers stay the same from round to round, so they are sorted once."""
+
+    def __init__(self, ids: np.ndarray, size: int) -> None:
+        flat = ids.ravel()
+        self.order = np.argsort(flat, kind="stable")
+        seen = flat[self.order]
+        self.begin = np.flatnonzero(np.r_[True, seen[1:] != seen[:-1]])
+        self.at, self.size = seen[self.begin], size
+
+    def __call__(self, rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.size, rows.shape[-1]))
+        out[self.at] = np.add.reduceat(rows.reshape(-1, rows.shape[-1])[self.order], self.begin)
+        return out
+
+
+def _labels(kinds: list[str]) -> list[int]:
+    last, out = "", []
+    for kind in kinds:
+        out.append(LABELS.index(f"{'I' if kind == last else 'B'}-{kind}") if kind else 0)
+        last = kind
+    return out
+
+
 @lru_cache(maxsize=1)
-def train(rounds: int = 250, penalty: float = 0.02, rate: float = 0.15) -> Field:
-    """Gradient ascent on the penalised log likelihood of TABLE; deterministic."""
-    mark = {"n": "name", "s": "street", "i": "idnum"}
-    rows = []
-    for line in TABLE:
-        words, labels, last = [], [], ""
-        for w in line.split():
-            kind = mark.get(w[-1], "") if len(w) > 2 and w[-2] == "/" else ""
-            words.append(w[:-2] if kind else w)
-            labels.append(LABELS.index(f"{'I' if kind == last else 'B'}-{kind}") if kind else 0)
-            last = kind
-        rows.append((words, labels))
-    shapes = {"": 0} | {s: i for i, s in enumerate(dict.fromkeys(_shape(w) for ws, _ in rows for w in ws), 1)}
-    words = {"": 0} | {s: i for i, s in enumerate(dict.fromkeys(_core(w) for ws, ls in rows for w, x in zip(ws, ls, strict=True) if _core(w) and (x == 0 or not w[0].isupper())), 1)}
+def train(rounds: int = 120, penalty: float = 0.05, rate: float = 0.15) -> Field:
+    """Gradient ascent on the penalised log likelihood of the table; deterministic.
+
+    Words are features where they stand outside the slots or are words of streets, so that names and numbers are known by shape
+    and company alone.
+    """
+    rows = [([w for w, _ in s], _labels([k for _, k in s])) for s in pii_table.sentences()]
+    street = {_core(w) for w in (*pii_table.STREET_WORDS, *pii_table.FRENCH_WORDS, *pii_table.SPANISH_WORDS, *(f"x{w}" for w in pii_table.GERMAN_WORDS))}
+    common: dict[str, int] = {}
+    for ws, ls in rows:
+        for w, x in zip(ws, ls, strict=True):
+            if x == 0 or _core(w) in street:
+                common[_core(w)] = common.get(_core(w), 0) + 1
+    number = lambda names: {"": EDGE} | {x: i for i, x in enumerate(dict.fromkeys(names), 2)}
+    every = [w for ws, _ in rows for w in ws]
+    tables = [number(map(_shape, every)), number(map(_coarse, every)), number(w for w, n in common.items() if w and n > 1)]  # words of the chance prose come once
     t, k = max(len(ws) for ws, _ in rows), len(LABELS)
-    s, v, y, mask = (np.zeros((len(rows), t), int) for _ in range(4))
+    of, number_of = np.full((4, len(rows), t), EDGE), {}
+    y, mask = (np.zeros((len(rows), t), int) for _ in range(2))
     for i, (ws, ls) in enumerate(rows):
-        s[i, : len(ws)] = [shapes[_shape(w)] for w in ws]
-        v[i, : len(ws)] = [words.get(_core(w), 0) for w in ws]
+        for table, key, at in zip(tables, (_shape, _coarse, _core), of, strict=False):
+            at[i, : len(ws)] = [table.get(key(w), UNKNOWN) for w in ws]
+        of[3, i, : len(ws)] = _again(np.array([number_of.setdefault(w, len(number_of)) for w in ws]))
         y[i, : len(ws)], mask[i, : len(ws)] = ls, 1
-    f = Field(shapes, words, np.zeros((5, len(shapes), k)), np.zeros((5, len(words), k)), np.zeros((k, k)), np.zeros(k))
-    sid, wid = (np.stack([_moved(x, p) for p in f.places]) for x in (s, v))
+    sizes = [*(len(table) + 1 for table in tables), OTHER + 1]
+    weights = [np.zeros((5, n, k)) for n in sizes]
+    ids = [np.stack([_moved(x, p) for p in PLACES]) for x in of]
+    adders = [[_Adder(x, n) for x in at] for at, n in zip(ids, sizes, strict=True)]
+    trans, start = np.zeros((k, k)), np.zeros(k)
     gold = np.eye(k)[y] * mask[..., None]
-    gold_pair = (gold[:, :-1, :, None] * gold[:, 1:, None]).sum((0, 1))
-    params, m2 = [f.shape_w, f.word_w, f.trans, f.start], None
-    for _ in range(rounds):
-        e = sum(f.shape_w[j][sid[j]] + f.word_w[j][wid[j]] for j in range(5))
-        node, pair = _forward_backward(e, mask.astype(bool), f.trans, f.start)
+    gold_pair = ((gold[:, :-1, :, None] * gold[:, 1:, None]) * mask[:, 1:, None, None]).sum((0, 1))
+    params, m2 = [*weights, trans, start], None
+    for r in range(rounds):
+        for w in weights:
+            w[:, UNKNOWN] = 0
+        e = sum(w[j][at[j]] for w, at in zip(weights, ids, strict=True) for j in range(5))
+        node, pair = _forward_backward(e, mask, trans, start)
         diff = gold - node
-        gs, gw = np.zeros_like(f.shape_w), np.zeros_like(f.word_w)
-        for j in range(5):
-            np.add.at(gs[j], sid[j], diff)
-            np.add.at(gw[j], wid[j], diff)
-        grads = [gs - penalty * f.shape_w, gw - penalty * f.word_w, gold_pair - pair.sum((0, 1)) - penalty * f.trans, diff[:, 0].sum(0) - penalty * f.start]
+        grads = [*(np.stack([add(diff) for add in adder]) for adder in adders), gold_pair - pair, diff[:, 0].sum(0)]
+        grads = [g - penalty * p for g, p in zip(grads, params, strict=True)]
         m2 = [g * g for g in grads] if m2 is None else [0.9 * a + 0.1 * g * g for a, g in zip(m2, grads, strict=True)]
         for p, g, a in zip(params, grads, m2, strict=True):
-            p += rate * g / (np.sqrt(a) + 1e-3)
-    f.word_w[:, 0] = 0  # words that the table lacks say nothing
-    f.shape_w[:, 0] = 0
+            p += rate * (1 - r / rounds) * g / (np.sqrt(a) + 1e-3)
+    for w in weights:
+        w[:, UNKNOWN] = 0
     for k2 in range(len(LABELS)):  # an I label continues its own kind
         for k1 in range(len(LABELS)):
             if LABELS[k2][0] == "I" and LABELS[k1][1:] != LABELS[k2][1:]:
-                f.trans[k1, k2] = -1e3
+                trans[k1, k2] = -1e3
         if LABELS[k2][0] == "I":
-            f.start[k2] = -1e3
-    return f
+            start[k2] = -1e3
+    return Field(*tables, *(x.astype(np.float32) for x in params))
 
 
 def _moved(x: np.ndarray, place: int) -> np.ndarray:
-    out = np.zeros_like(x)
+    out = np.full_like(x, EDGE)
     if place < 0:
         out[:, -place:] = x[:, :place]
     elif place > 0:
@@ -220,41 +254,65 @@ def _moved(x: np.ndarray, place: int) -> np.ndarray:
     return out
 
 
+#: Stands for the end of a line among the words of a text.
+LINE = "\n"
+
+
 class Seen(dict):
-    """Word -> number of its (shape, word) pair; bounded."""
+    """Word -> its number; bounded. `weights` has what a word of each number adds to the labels at each place. Number 0 is the
+    edge of a text or line."""
 
     LIMIT = 100_000
 
     def __init__(self, f: Field) -> None:
         super().__init__()
-        self.f, self.shape, self.word = f, array("i", [0]), array("i", [0])
+        self.f = f
+        self.reset()
+
+    def reset(self) -> None:
+        self.clear()
+        self.numbers = array("i", [EDGE]), array("i", [EDGE]), array("i", [EDGE])
+        self.made = np.zeros((0, len(PLACES), len(LABELS)), np.float32)
+        self[LINE] = 0
 
     def __missing__(self, w: str) -> int:
-        self.shape.append(self.f.shapes.get(_shape(w), 0))
-        self.word.append(self.f.words.get(_core(w), 0))
-        self[w] = len(self.shape) - 1
+        for x, table, key in zip(self.numbers, (self.f.shapes, self.f.coarse, self.f.words), (_shape, _coarse, _core), strict=True):
+            x.append(table.get(key(w), UNKNOWN))
+        self[w] = len(self.numbers[0]) - 1
         return self[w]
 
+    def weights(self) -> np.ndarray:
+        n = len(self.made)
+        if n < len(self.numbers[0]):
+            new = sum(w[:, np.array(x[n:])] for w, x in zip((self.f.shape_w, self.f.coarse_w, self.f.word_w), self.numbers, strict=True))
+            self.made = np.concatenate([self.made, new.transpose(1, 0, 2)])
+        return self.made
+
     def trim(self) -> None:
         if len(self) > self.LIMIT:
-            self.clear()
-            self.shape, self.word = array("i", [0]), array("i", [0])
+            self.reset()
 
 
 CORE, MARGIN = 96, 12
 
 
-def decode(f: Field, sid: np.ndarray, wid: np.ndarray, rows: int = 512) -> np.ndarray:
+def scores(f: Field, seen: Seen, number: np.ndarray) -> np.ndarray:
+    """What the words of a stream, by number, and their neighbours say for each label."""
+    n = len(number)
+    beside = lambda x: np.r_[np.full(2, x[1], x[0].dtype), x[0], np.full(2, x[1], x[0].dtype)]
+    words, again = beside((number, 0)), beside((np.where(number == 0, EDGE, _again(number)), EDGE))
+    e = np.tile(f.again_w[:, OTHER].sum(0), (n, 1))
+    table = seen.weights()
+    for j in range(len(PLACES)):
+        e += table[:, j][words[j : j + n]]
+        some = np.flatnonzero(again[j : j + n] != OTHER)
+        e[some] += (f.again_w[j] - f.again_w[j, OTHER])[again[j : j + n][some]]
+    return e
+
+
+def decode(f: Field, e: np.ndarray, rows: int = 512) -> np.ndarray:
     """Labels of a stream of words by Viterbi, in windows of CORE words that see MARGIN words on either side."""
-    n, k = len(sid), len(LABELS)
-    pad = lambda x: np.r_[np.zeros(2, x.dtype), x, np.zeros(2, x.dtype)]
-    ps, pw = pad(sid), pad(wid)
-    e = np.zeros((n, k), np.float32)
-    for j in range(5):
-        e += f.shape_w[j].astype(np.float32)[ps[j : j + n]]
-        near = pw[j : j + n]
-        some = np.flatnonzero(near)
-        e[some] += f.word_w[j].astype(np.float32)[near[some]]
+    n, k = e.shape
     out = np.zeros(n, np.int8)
     if not n:
         return out
@@ -264,13 +322,12 @@ def decode(f: Field, sid: np.ndarray, wid: np.ndarray, rows: int = 512) -> np.nd
     # all labels but O are out beside the text
     full[:MARGIN, 1:] = full[MARGIN + n :, 1:] = -50
     view = np.lib.stride_tricks.sliding_window_view(full, width, 0)[::CORE].transpose(2, 0, 1)
-    trans = f.trans.astype(np.float32)
     for lo in range(0, count, rows):
         w = np.ascontiguousarray(view[:, lo : lo + rows])
-        score = w[0] + f.start.astype(np.float32)
+        score = w[0] + f.start
         back = np.zeros((width, w.shape[1], k), np.int8)
         for t in range(1, width):
-            z = score[:, None, :] + trans.T[None]
+            z = score[:, None, :] + f.trans.T[None]
             back[t] = z.argmax(2)
             score = z.max(2) + w[t]
         at = score.argmax(1)
@@ -283,23 +340,32 @@ def decode(f: Field, sid: np.ndarray, wid: np.ndarray, rows: int = 512) -> np.nd
     return out
 
 
-_GAP = "\0"
+def words_of(text: str) -> list[str]:
+    """The words between white space, with LINE at the ends of lines."""
+    if "\n" not in text:
+        return text.split()
+    out: list[str] = []
+    for i, line in enumerate(text.split("\n")):
+        if i:
+            out.append(LINE)
+        out += line.split()
+    return out
 
 
 def learned_spans(texts: list[str], f: Field, seen: Seen) -> list[list[Span]]:
-    """Spans of the field in each text. Words are split at white space; texts are kept apart by a stop word."""
+    """Spans of the field in each text, as the field labels its words; marks around them are left out."""
     seen.trim()
     ids, count, get = [], np.zeros(len(texts), np.int64), seen.__getitem__
     split = []
     for i, t in enumerate(texts):
-        words = t.split()
+        words = words_of(t)
         split.append(words)
         count[i] = len(words) + 2
         ids.extend(map(get, words))
-        ids.extend((0, 0))  # two empty words between texts
+        ids.extend((0, 0))  # two edges between texts
     number = np.array(ids, np.int64)
-    sid, wid = np.frombuffer(seen.shape, np.int32)[number], np.frombuffer(seen.word, np.int32)[number]
-    lab = decode(f, sid, wid)
+    lab = decode(f, scores(f, seen, number))
+    lab[number == 0] = 0
     begin = np.r_[0, np.cumsum(count)]
     out: list[list[Span]] = [[] for _ in texts]
     hits = np.flatnonzero(lab)
@@ -312,34 +378,42 @@ def learned_spans(texts: list[str], f: Field, seen: Seen) -> list[list[Span]]:
             at += len(w)
         j = 0
         while j < len(mine):
-            name = LABELS[mine[j]]
-            if name[0] == "B":
-                k = j + 1
-                while k < len(mine) and LABELS[mine[k]] == f"I-{name[2:]}":
-                    k += 1
-                raw = texts[i][place[j][0] : place[k - 1][1]].rstrip(".,;:!?)")
-                if _plausible(name[2:], split[i][j:k], split[i][max(0, j - 2) : j]):
-                    out[i].append((name[2:], place[j][0], place[j][0] + len(raw)))
-                j = k
-            else:
+            if not mine[j]:
                 j += 1
+                continue
+            kind, k = LABELS[mine[j]][2:], j + 1
+            while k < len(mine) and LABELS[mine[k]] == f"I-{kind}":
+                k += 1
+            lo, hi = place[j][0], place[k - 1][1]
+            raw = texts[i][lo:hi].rstrip(".,;:!?)]}\"'#$%*&|")
+            lead = len(raw) - len(raw.lstrip("([{\"'"))
+            if len(raw) > lead:
+                out[i].append((kind, lo + lead, lo + len(raw)))
+            j = k
     return out
 
 
-TITLES = frozenset("mr mrs ms dr prof herr frau monsieur madame señor señora patient".split())
-
-
-def _plausible(kind: str, words: list[str], before: list[str]) -> bool:
-    """What a span of a kind has in any case; the field proposes, this only refuses: the table is small, and
-    sentences begin with capitals too. A name stands within a sentence behind a title, "name is" or "Name:"."""
-    if kind == "name":
-        cues = [_core(w) for w in (*before, words[0])]
-        led = cues[-1] in TITLES or bool(cues[-2:-1]) and cues[-2] in TITLES or cues[:-1] == ["name", "is"] or before[-1:] in (["Name:"], ["name:"])
-        inner = [w for w in words[:-1] if _core(w) not in TITLES]
-        return led and 2 <= len(words) <= 4 and all(w[:1].isupper() for w in words) and not any(w[-1] in ".!?:;" and len(w) > 2 for w in inner)
-    if kind == "street":
-        return len(words) >= 3 and words[0].strip(",.").isdigit()
-    return bool(re.fullmatch(r"\d{3}-\d{2}-\d{4}", words[0].strip(".,;:()")))
+def accuracy(f: Field) -> dict[str, tuple[float, float]]:
+    """Precision and recall of whole spans by kind, on the held-out templates and fillers of the table."""
+    gold: list[set[Span]] = []
+    texts = []
+    for s in pii_table.sentences(held_out=True):
+        at, mine, last = 0, [], ""
+        for w, kind in s:
+            if kind and kind == last:
+                mine[-1] = (kind, mine[-1][1], at + len(w))
+            elif kind:
+                mine.append((kind, at, at + len(w)))
+            last, at = kind, at + len(w) + 1
+        texts.append(" ".join(w for w, _ in s))
+        gold.append({(k, a, a + len(texts[-1][a:b].rstrip(".,;:!?"))) for k, a, b in mine})
+    found = [set(x) for x in learned_spans(texts, f, Seen(f))]
+    out = {}
+    for kind in LEARNED:
+        of = lambda xs: {(i, x) for i, y in enumerate(xs) for x in y if x[0] == kind}  # noqa: E731,B023
+        a, b = of(found), of(gold)
+        out[kind] = (len(a & b) / max(len(a), 1), len(a & b) / max(len(b), 1))
+    return out
 
 
 def all_spans(texts: list[str], seen: Seen) -> tuple[list[list[Span]], list[list[Span]]]:
@@ -358,18 +432,25 @@ def spans(docs: DataFrame) -> DataFrame:
 
     Null and empty texts have none. Repeated rows each give a row; columns besides doc_id and text are ignored.
     """
-    one = "array<struct<kind:string,begin:int,end:int>>"
+    one, f = "array<struct<kind:string,begin:int,end:int>>", train()
 
     def run(part: pa.RecordBatch) -> dict:
-        base, more = all_spans(texts_of(part), _seen())
+        base, more = all_spans(texts_of(part), _seen(f))
         return {"doc_id": part.column(0)} | {n: [[{"kind": k, "begin": a, "end": b} for k, a, b in x] for x in y] for n, y in (("base", base), ("learned", more))}
 
     return per_slice(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, f"doc_id long, base {one}, learned {one}")
 
 
-@lru_cache(maxsize=1)
-def _seen() -> Seen:
-    return Seen(train())
+_SEEN: dict[bytes, Seen] = {}
+
+
+def _seen(f: Field) -> Seen:
+    """The words that this process has met with a field; fields are told apart by their weights."""
+    key = hashlib.sha256(f.trans.tobytes() + f.shape_w.tobytes()).digest()
+    if key not in _SEEN:
+        _SEEN.clear()
+        _SEEN[key] = Seen(f)
+    return _SEEN[key]
 
 
 def redact(text: str, found: list[Span]) -> str:
@@ -385,12 +466,17 @@ def redact(text: str, found: list[Span]) -> str:
 
 
 def redacted(docs: DataFrame) -> DataFrame:
-    """The rows of `docs`, all columns, with personal data in `text` replaced by its kind; n_chars, if there is one, follows."""
+    """The rows of `docs`, all columns, with personal data in `text` replaced by its kind; n_chars, if there is one, follows.
+
+    Null texts stay null, empty and clean ones as they are, with their n_chars. Repeated rows each give a row; columns of any name
+    are carried; an empty table gives none.
+    """
+    f = train()
 
     def run(part: pa.RecordBatch) -> dict:
         raw = part.column(1).to_pylist()
         texts = [x or "" for x in raw]
-        base, more = all_spans(texts, _seen())
+        base, more = all_spans(texts, _seen(f))
         return {"clean": [r if not (b or m) else redact(t, [*b, *m]) for r, t, b, m in zip(raw, texts, base, more, strict=True)]}
 
     got = carried(docs, run, "clean string")
@@ -399,15 +485,24 @@ def redacted(docs: DataFrame) -> DataFrame:
     return got.select(*[new[c].alias(c) if new.get(c) is not None else F.col(f"row.`{c}`") for c in docs.columns])
 
 
+def base_counts(docs: DataFrame) -> DataFrame:
+    """doc_id and the number of base spans of each kind, of every row of `docs`."""
+    return query(docs).select("doc_id", *[f"n_{k}" for k in KINDS])
+
+
 def query(docs: DataFrame) -> DataFrame:
-    """op6: the contract's columns."""
-    order = {k: i for i, k in enumerate((*KINDS, *LEARNED))}
+    """op6: the contract's columns, then n_spans, the number of all spans.
+
+    Null and empty texts have no span. Repeated rows each give a row; columns besides doc_id and text are ignored; an empty table
+    gives none.
+    """
+    order, f = {k: i for i, k in enumerate((*KINDS, *LEARNED))}, train()
 
     def run(part: pa.RecordBatch) -> dict:
-        base, more = all_spans(texts_of(part), _seen())
+        base, more = all_spans(texts_of(part), _seen(f))
         out: dict[str, list] = {f"n_{k}": [sum(x[0] == k for x in b) for b in base] for k in KINDS}
         out["base_sha256"] = [hashlib.sha256(_joined(sorted(b, key=lambda x: (order[x[0]], x[1]))).encode()).hexdigest() for b in base]
         out["spans"] = [_joined(sorted([*b, *m], key=lambda x: (order[x[0]], x[1]))) for b, m in zip(base, more, strict=True)]
-        return out | {"doc_id": part.column(0)}
+        return out | {"doc_id": part.column(0), "n_spans": [len(b) + len(m) for b, m in zip(base, more, strict=True)]}
 
-    return per_slice(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return per_slice(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long")

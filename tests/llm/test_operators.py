@@ -185,33 +185,15 @@ def plain_pii(t):
     return [(k, *m.span()) for k, p in _PLAIN.items() for m in re.finditer(p, t) if ok[k](m[0])]
 
 
-def test_pii_base_spans_and_field():
+def test_pii_base_spans():
     rng = random.Random(2)
     bits = ["1", "2", "255", "256", ".", "-", " ", "+", "(", ")", "a", "b.c", "@", "@x.y", "4111111111111111", "+1 (555) ", "٣", "\n"]
     for _ in range(5000):
         t = "".join(rng.choice(bits) for _ in range(rng.randrange(25)))
         assert pii.base_spans(t) == plain_pii(t)
-    seen = pii.Seen(pii.train())
-    texts = ["Please write to Mr. Walter Kimble, he knows.", "She lives at 22 Elm Street now.", "His SSN: 111-22-3333 ok", "The Big Dog ran. Then Anna went home.", ""]
-    found = [[t[a:b] for _, a, b in x] for t, x in zip(texts, pii.learned_spans(texts, seen.f, seen))]
-    assert found == [["Walter Kimble"], ["22 Elm Street"], ["111-22-3333"], [], []]
     assert pii.redact("mail a@b.co now", [("email", 5, 11)]) == "mail [EMAIL] now"
 
 
-def test_viterbi_by_enumeration():
-    import itertools
-
-    f = pii.train()
-    rng = np.random.default_rng(1)
-    s, w = rng.integers(0, len(f.shapes), 5), rng.integers(0, len(f.words), 5)
-    pad = lambda x: np.r_[0, 0, x, 0, 0]
-    e = sum(f.shape_w[j][pad(s)[j : j + 5]] + f.word_w[j][pad(w)[j : j + 5]] for j in range(5))
-    score = lambda y: e[range(5), y].sum() + sum(f.trans[a, b] for a, b in itertools.pairwise(y)) + f.trans[0, y[0]]
-    best = max(itertools.product(range(len(pii.LABELS)), repeat=5), key=lambda y: score(list(y)))
-    got = pii.decode(f, s, w)
-    assert score(got.tolist()) == pytest.approx(score(list(best)), abs=1e-2)
-
-
 def test_secrets_base_and_battery(spark):
     rng = random.Random(2)
     bits = ["token", "TOKEN", " = ", ":", '"', "apikey", "ſecret", "secret=", "0123456789abcdef", "deadbeef", "AKIA", "AKIAABCDEFGHIJKL", "Z", " ", "abcd1234", "password", "\n"]
