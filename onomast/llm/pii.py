@@ -195,23 +195,24 @@ def train(rounds: int = 120, penalty: float = 0.05, rate: float = 0.15) -> Field
     Words are features where they stand outside the slots or are words of streets, so that names and numbers are known by shape
     and company alone.
     """
-    rows = [([w for w, _ in s], _labels([k for _, k in s])) for s in pii_table.sentences()]
+    # an edge, outside, before and after each sentence, as in `learned_spans`
+    rows = [(["", *(w for w, _ in s), ""], [0, *_labels([k for _, k in s]), 0]) for s in pii_table.sentences()]
     street = {_core(w) for w in (*pii_table.STREET_WORDS, *pii_table.FRENCH_WORDS, *pii_table.SPANISH_WORDS, *(f"x{w}" for w in pii_table.GERMAN_WORDS))}
     common: dict[str, int] = {}
     for ws, ls in rows:
-        for w, x in zip(ws, ls, strict=True):
+        for w, x in zip(ws[1:-1], ls[1:-1], strict=True):
             if x == 0 or _core(w) in street:
                 common[_core(w)] = common.get(_core(w), 0) + 1
     number = lambda names: {"": EDGE} | {x: i for i, x in enumerate(dict.fromkeys(names), 2)}
-    every = [w for ws, _ in rows for w in ws]
+    every = [w for ws, _ in rows for w in ws if w]
     tables = [number(map(_shape, every)), number(map(_coarse, every)), number(w for w, n in common.items() if w and n > 1)]  # words of the chance prose come once
     t, k = max(len(ws) for ws, _ in rows), len(LABELS)
     of, number_of = np.full((4, len(rows), t), EDGE), {}
     y, mask = (np.zeros((len(rows), t), int) for _ in range(2))
     for i, (ws, ls) in enumerate(rows):
         for table, key, at in zip(tables, (_shape, _coarse, _core), of, strict=False):
-            at[i, : len(ws)] = [table.get(key(w), UNKNOWN) for w in ws]
-        of[3, i, : len(ws)] = _again(np.array([number_of.setdefault(w, len(number_of)) for w in ws]))
+            at[i, 1 : len(ws) - 1] = [table.get(key(w), UNKNOWN) for w in ws[1:-1]]
+        of[3, i, 1 : len(ws) - 1] = _again(np.array([number_of.setdefault(w, len(number_of)) for w in ws[1:-1]]))
         y[i, : len(ws)], mask[i, : len(ws)] = ls, 1
     sizes = [*(len(table) + 1 for table in tables), OTHER + 1]
     weights = [np.zeros((5, n, k)) for n in sizes]
@@ -307,6 +308,7 @@ def scores(f: Field, seen: Seen, number: np.ndarray) -> np.ndarray:
         e += table[:, j][words[j : j + n]]
         some = np.flatnonzero(again[j : j + n] != OTHER)
         e[some] += (f.again_w[j] - f.again_w[j, OTHER])[again[j : j + n][some]]
+    e[number == 0, 1:] = -50  # edges are outside
     return e
 
 
@@ -365,7 +367,6 @@ def learned_spans(texts: list[str], f: Field, seen: Seen) -> list[list[Span]]:
         ids.extend((0, 0))  # two edges between texts
     number = np.array(ids, np.int64)
     lab = decode(f, scores(f, seen, number))
-    lab[number == 0] = 0
     begin = np.r_[0, np.cumsum(count)]
     out: list[list[Span]] = [[] for _ in texts]
     hits = np.flatnonzero(lab)

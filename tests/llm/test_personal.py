@@ -53,7 +53,7 @@ def plain_field(seen, text):
         at = sum(len(x) + 1 for x in text.split("\n")[: i + 1]) - 1
     if not words:
         return []
-    e = pii.scores(f, seen, numbers(seen, words))[2:-2]
+    e = pii.scores(f, seen, numbers(seen, words))[2:-1]  # with the edge behind the text
     score, back = e[0] + f.trans[0], []
     for x in e[1:]:
         z = score[:, None] + f.trans
@@ -63,6 +63,7 @@ def plain_field(seen, text):
     for b in reversed(back):
         labels.append(int(b[labels[-1]]))
     labels.reverse()
+    labels.pop()
     out, j = [], 0
     while j < len(labels):
         name = pii.LABELS[labels[j]]
