@@ -26,9 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the session; a local one only where none is set (tests, local mode)."""
+    """The shared folder of the session. Only in local mode, where all tasks share the machine, one is made where none is set."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = os.path.join(tempfile.gettempdir(), "onomast-checkpoints")
         spark.sparkContext.setCheckpointDir(found)
     return found
@@ -40,14 +42,30 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Tables of `settle_table` that this process has written and not deleted.
+SETTLED: list[str] = []
+
+
 def settle_table(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a Parquet table in the shared folder: columns compress well, and it is read more than once."""
+    """Cuts the lineage with a Parquet table in the shared folder: columns compress well, and it is read more than once. Its size on
+    disk is known to the planner, which broadcasts it only below spark.sql.autoBroadcastJoinThreshold. See `drop_settled`."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/onomast-{uuid.uuid4().hex}"
+    SETTLED.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_settled(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
+    """Deletes settled tables, from the `since`-th on, but for those that `keep` reads. For when no result needs them any more."""
+    kept = {f.rsplit("/", 2)[-2] for f in keep.inputFiles()} if keep is not None else set()
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    for path in [x for x in SETTLED[since:] if x.rsplit("/", 1)[-1] not in kept]:
+        where = path_of(path)
+        where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+        SETTLED.remove(path)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bounds the rows of an Arrow batch: texts are long, and a worker holds a batch or two."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:

@@ -3,8 +3,9 @@
 Every start of a `length`-byte string belongs to the least hash of the `GRAM`-byte strings inside it. Equal strings have
 equal least hashes, so runs of starts that share one (segments) can be compared apart from all others:
 
-1. each task finds segments and drops those it has already seen, byte for byte by a 128-bit hash; their starts repeat.
-2. the rest are dealt out by least hash. Equal segments of different tasks meet: all but the first repeat. A least hash
+1. each task finds segments and combines equal ones, byte for byte by a 128-bit hash, over `HELD` segments at a time: the
+   starts of all but the first repeat, and only firsts are dealt out.
+2. firsts are dealt out by least hash. Equal segments of different tasks meet: all but the first repeat. A least hash
    with one segment is settled; one with several different segments is contested.
 3. contested segments fetch their bytes and are dealt out again. Their suffixes are sorted to `length` bytes: by
    words of 8 bytes (lexsort, in place of a multikey quicksort) to a shallow depth, then blind tries for the groups that still agree. All but the first of
@@ -15,23 +16,27 @@ equal least hashes, so runs of starts that share one (segments) can be compared
 
 from __future__ import annotations
 
+import bisect
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_slice, settle_table
+from .common import per_slice, release, settle_table, slices, small_batches
 
 LENGTH, GRAM = 100, 40
 #: Bytes of a text that are hashed at once, and starts that a segment may hold.
 PIECE, RUN = 1 << 20, 4096
+#: Segments that a task combines before they are dealt out.
+HELD = 1 << 19
 SHALLOW = 32
 FIRST, REPEAT, CONTEST, HOT, LOOP = 0, 1, 2, 3, 4
-_ROW = "kind int, m long, sh long, doc long, th int, lo int, n int"
+#: A row is known by its doc_id and `th`, the XXH64 of its text: rows that share an id, or have none, stay apart.
+_ROW = "kind int, m long, sh long, doc long, th long, lo int, n int"
 _MULT = 0x9E3779B97F4A7C15 | 1
 _MULT2 = 0xD6E8FEB86659FD93 | 1
 
@@ -102,6 +107,12 @@ def segments(data: np.ndarray, valid: np.ndarray, owner: np.ndarray, length: int
     return begin, size, m[begin], content, loops[begin + size] > loops[begin]
 
 
+def _hash(b: bytes) -> int:
+    """XXH64 with seed 42 as a signed number: what Spark's xxhash64 gives for the text."""
+    h = xxhash.xxh64_intdigest(b, 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
 def _pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[list[tuple[int, int, int, bytes]]]:
     """Lists of (doc_id, text hash, offset, bytes) that hold about PIECE starts; longer texts are cut with an overlap."""
     held, size = [], 0
@@ -111,7 +122,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[list[tup
             if len(b) < length:
                 continue
             d = doc.as_py()
-            th = zlib.crc32(b)
+            th = _hash(b)
             for at in range(0, len(b) - length + 1, PIECE):
                 part = b[at : at + PIECE + length - 1]
                 held.append(((1 << 63) - 1 if d is None else d, th, at, part))
@@ -123,41 +134,74 @@ def _pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[list[tup
         yield held
 
 
+def _segments_of(held: list[tuple[int, int, int, bytes]], length: int, gram: int) -> dict[str, np.ndarray]:
+    """The segments of pieces: least and content hash, place, size, whether it may repeat itself."""
+    ids = np.array([x[0] for x in held], np.int64)
+    ths = np.array([x[1] for x in held], np.int64)
+    offs = np.array([x[2] for x in held], np.int64)
+    lens = np.array([len(x[3]) for x in held], np.int64)
+    at = np.r_[0, np.cumsum(lens)]
+    data = np.frombuffer(b"".join(x[3] for x in held), np.uint8)
+    owner = np.repeat(np.arange(len(held), dtype=np.int32), lens)
+    starts = np.arange(len(data) - length + 1)
+    valid = starts + length <= at[1:][owner[: len(starts)]]
+    begin, size, m, content, loop = segments(data, valid, owner, length, gram)
+    who = owner[begin]
+    return {"m": m, "sh": content, "doc": ids[who], "th": ths[who], "lo": (offs[who] + begin - at[who]).astype(np.int32), "n": size.astype(np.int32), "loop": loop}
+
+
+def _combined(c: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """Equal segments as one first, at the least (doc, lo), and repeats; one at the very same place (a repeated row) is not earlier: it
+    is the same first, and goes. Neighbouring repeats of a text become one row; their `m` only spreads them."""
+    key = _mix(c["m"] ^ (c["sh"] << np.uint64(1)))
+    order = np.argsort(key, kind="stable")
+    meets = key[order][1:] == key[order][:-1]
+    shared = np.r_[meets, False] | np.r_[False, meets] if len(order) else np.zeros(0, bool)
+    alone = {k: v[order[~shared]] for k, v in c.items()}
+    c = {k: v[order[shared]] for k, v in c.items()}
+    order = np.lexsort((c["th"], c["lo"], c["doc"], c["n"], c["sh"], c["m"]))
+    c = {k: v[order] for k, v in c.items()}
+    twice = same_rows(c, ("m", "sh", "n", "doc", "lo", "th"))
+    c = {k: v[~twice] for k, v in c.items()}
+    new = ~same_rows(c, ("m", "sh", "n"))
+    head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+    again = (c["doc"] != c["doc"][head]) | (c["lo"] != c["lo"][head])
+    first = {k: np.concatenate([v[~again], alone[k]]) for k, v in c.items()}
+    r = {k: v[again] for k, v in c.items()}
+    order = np.lexsort((r["lo"], r["th"], r["doc"]))
+    r = {k: v[order] for k, v in r.items()}
+    joins = np.zeros(len(order), bool)
+    if len(order):
+        joins[1:] = (r["doc"][1:] == r["doc"][:-1]) & (r["th"][1:] == r["th"][:-1]) & (r["lo"][:-1] + r["n"][:-1] == r["lo"][1:])
+    top = np.flatnonzero(~joins)
+    total = np.bincount(np.cumsum(~joins) - 1, r["n"], len(top)).astype(np.int32) if len(order) else np.zeros(0, np.int32)
+    spread = _mix(r["th"].view(np.uint64)[top] + r["lo"][top].astype(np.uint64)).view(np.int64)
+    rows = {
+        "kind": np.r_[np.where(first["loop"], LOOP, FIRST), np.full(len(top), REPEAT)].astype(np.int32), "m": np.r_[first["m"].view(np.int64), spread],
+        "sh": np.r_[first["sh"].view(np.int64), np.zeros(len(top), np.int64)], "doc": np.r_[first["doc"], r["doc"][top]], "th": np.r_[first["th"], r["th"][top]],
+        "lo": np.r_[first["lo"], r["lo"][top]], "n": np.r_[first["n"], total],
+    }
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in rows.values()], names=list(rows))
+
+
+def same_rows(c: dict[str, np.ndarray], names: tuple[str, ...]) -> np.ndarray:
+    """Whether a row has the same values as the one before it."""
+    out = np.zeros(len(c[names[0]]), bool)
+    if len(out):
+        out[1:] = np.logical_and.reduce([c[k][1:] == c[k][:-1] for k in names])
+    return out
+
+
 def _find(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
-    for held in _pieces(batches, length):
-        held.sort(key=lambda x: (x[0], x[2]))
-        ids = np.array([x[0] for x in held], np.int64)
-        ths = np.array([x[1] for x in held], np.uint32)
-        offs = np.array([x[2] for x in held], np.int64)
-        lens = np.array([len(x[3]) for x in held], np.int64)
-        at = np.r_[0, np.cumsum(lens)]
-        data = np.frombuffer(b"".join(x[3] for x in held), np.uint8)
-        owner = np.repeat(np.arange(len(held), dtype=np.int32), lens)
-        starts = np.arange(len(data) - length + 1)
-        valid = starts + length <= at[1:][owner[: len(starts)]]
-        begin, size, m, content, loop = segments(data, valid, owner, length, gram)
-        who = owner[begin]
-        doc, lo = ids[who], offs[who] + begin - at[who]
-        key = _mix(m ^ (content << np.uint64(1)))
-        order = np.argsort(key, kind="stable")
-        again = np.zeros(len(key), bool)
-        a, b = order[1:], order[:-1]
-        again[a] = (m[a] == m[b]) & (content[a] == content[b]) & (size[a] == size[b])
-        # the first of equal segments is at the least (doc, lo), as the pieces are in that order; one at the very same
-        # place (a repeated row) is not earlier, and stays a first
-        first = np.maximum.accumulate(np.where(~again[order], np.arange(len(order)), 0))
-        head = np.empty(len(order), np.int64)
-        head[order] = order[first]
-        again &= ~((doc == doc[head]) & (lo == lo[head]))
-        kind = np.where(again, REPEAT, np.where(loop, LOOP, FIRST)).astype(np.int32)
-        cols = [kind, np.where(again, doc, m.view(np.int64)), np.where(again, 0, content.view(np.int64)), doc, ths[who].view(np.int32), lo.astype(np.int32), size.astype(np.int32)]
-        # neighbouring repeats of a text become one row
-        last = again[1:] & again[:-1] & (who[1:] == who[:-1]) & (lo[:-1] + size[:-1] == lo[1:])
-        group = np.cumsum(np.r_[True, ~last]) - 1 if len(again) else np.zeros(0, int)
-        top = np.flatnonzero(np.r_[True, ~last]) if len(again) else np.zeros(0, int)
-        total = np.bincount(group, size, len(top)).astype(np.int32)
-        cols = [c[top] for c in cols[:-1]] + [total]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["kind", "m", "sh", "doc", "th", "lo", "n"])
+    held, size = [], 0
+    for pieces in _pieces(batches, length):
+        held.append(_segments_of(pieces, length, gram))
+        size += len(held[-1]["m"])
+        if size >= HELD:
+            yield _combined({k: np.concatenate([c[k] for c in held]) for k in held[0]})
+            held, size = [], 0
+    if held:
+        yield _combined({k: np.concatenate([c[k] for c in held]) for k in held[0]})
 
 
 def _columns(batches: Iterator[pa.RecordBatch]) -> dict[str, np.ndarray] | None:
@@ -174,13 +218,13 @@ def _meet(batches: Iterator[pa.RecordBatch], hot: int) -> Iterator[pa.RecordBatc
         return
     old = c["kind"] == REPEAT
     r = {k: v[~old] for k, v in c.items()}
-    order = np.lexsort((r["lo"], r["doc"], r["n"], r["sh"], r["m"]))
+    order = np.lexsort((r["th"], r["lo"], r["doc"], r["n"], r["sh"], r["m"]))
     r = {k: v[order] for k, v in r.items()}
-    size = len(order)
-    if size:
-        new_m = np.r_[True, r["m"][1:] != r["m"][:-1]]
-        new = new_m | np.r_[True, (r["sh"][1:] != r["sh"][:-1]) | (r["n"][1:] != r["n"][:-1])]
-        head = np.maximum.accumulate(np.where(new, np.arange(size), 0))
+    r = {k: v[~again] for again in [same_rows(r, ("m", "sh", "n", "doc", "lo", "th"))] for k, v in r.items()}  # repeated rows
+    if len(r["m"]):
+        new_m = ~same_rows(r, ("m",))
+        new = ~same_rows(r, ("m", "sh", "n"))
+        head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
         kind = np.where((r["doc"] == r["doc"][head]) & (r["lo"] == r["lo"][head]), FIRST, REPEAT)
         gid = np.cumsum(new_m) - 1
         different = np.bincount(gid, new)[gid]
@@ -193,38 +237,46 @@ def _meet(batches: Iterator[pa.RecordBatch], hot: int) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays([pa.array(part[n]) for n in ("kind", "m", "doc", "th", "lo", "n")], names=["kind", "m", "doc", "th", "lo", "n"])
 
 
-def _cut(part: pa.RecordBatch, length: int) -> dict:
-    """The contested segments of texts, with their bytes. Of hot ones, the first start of each string among these texts, by a
-    128-bit hash: later ones cannot be the first of all."""
-    out: dict[str, list] = {k: [] for k in ("m", "h", "doc", "th", "lo", "n", "data")}
-    hot: list[tuple[np.ndarray, ...]] = []
-    for text, at in zip(part.column(1), part.column(2), strict=True):
-        b = (text.as_py() or "").encode("utf-8", "surrogatepass")
-        th = zlib.crc32(b)
-        for x in at.as_py():
-            if np.int32(x["th"]).view(np.uint32) != th:
-                continue
-            lo, n = x["lo"], x["n"]
-            own = b[lo : lo + n + length - 1]
-            if x["kind"] == CONTEST:
-                for k, v in (("m", x["m"]), ("h", 0), ("doc", x["doc"]), ("th", x["th"]), ("lo", lo), ("n", n), ("data", own)):
-                    out[k].append(v)
-            else:
-                arr, h = np.frombuffer(own, np.uint8), []
-                for mult in (_MULT, _MULT2):
-                    s, down = _sums(arr, mult)
-                    h.append(_mix((s[length:] - s[:-length]) * down[:n]).view(np.int64))
-                hot.append((*h, np.full(n, x["doc"]), np.full(n, x["th"]), np.arange(lo, lo + n)))
-    if hot:
-        m, h, doc, th, lo = (np.concatenate(c) for c in zip(*hot, strict=True))
-        order = np.lexsort((lo, doc, h, m))
-        m, h, doc, th, lo = (c[order] for c in (m, h, doc, th, lo))
-        first = np.flatnonzero(np.r_[True, (m[1:] != m[:-1]) | (h[1:] != h[:-1])])
-        for k, c in (("m", m), ("h", h), ("doc", doc), ("th", th), ("lo", lo)):
-            out[k].extend(c[first].tolist())
-        out["n"].extend([0] * len(first))
-        out["data"].extend([None] * len(first))
-    return out
+def _cut(batches: Iterator[pa.RecordBatch], length: int, remember: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The contested segments of texts, with their bytes. Of hot ones, the first start of each string among the texts of a slice, by a
+    128-bit hash: later ones cannot be the first of all. A row that came before, as far as the task remembers, is left out."""
+    seen: set[tuple[int, int]] = set()
+    for batch in batches:
+        for part in slices(batch, "text"):
+            out: dict[str, list] = {k: [] for k in ("m", "h", "doc", "th", "lo", "n", "data")}
+            hot: list[tuple[np.ndarray, ...]] = []
+            for doc, th, text, at in zip(*(part.column(i) for i in range(4)), strict=True):
+                row = (doc.as_py(), th.as_py())
+                if row in seen:
+                    continue
+                if len(seen) >= remember:
+                    seen.clear()
+                seen.add(row)
+                b = (text.as_py() or "").encode("utf-8", "surrogatepass")
+                for x in at.as_py():
+                    lo, n = x["lo"], x["n"]
+                    own = b[lo : lo + n + length - 1]
+                    if x["kind"] == CONTEST:
+                        for k, v in (("m", x["m"]), ("h", 0), ("doc", row[0]), ("th", row[1]), ("lo", lo), ("n", n), ("data", own)):
+                            out[k].append(v)
+                    else:
+                        arr, h = np.frombuffer(own, np.uint8), []
+                        for mult in (_MULT, _MULT2):
+                            s, down = _sums(arr, mult)
+                            h.append(_mix((s[length:] - s[:-length]) * down[:n]).view(np.int64))
+                        hot.append((*h, np.full(n, row[0]), np.full(n, row[1]), np.arange(lo, lo + n)))
+            if hot:
+                c = dict(zip(("m", "h", "doc", "th", "lo"), (np.concatenate(x) for x in zip(*hot, strict=True)), strict=True))
+                order = np.lexsort((c["th"], c["lo"], c["doc"], c["h"], c["m"]))
+                c = {k: v[order] for k, v in c.items()}
+                head = np.maximum.accumulate(np.where(~same_rows(c, ("m", "h")), np.arange(len(order)), 0))
+                first = (c["doc"] == c["doc"][head]) & (c["lo"] == c["lo"][head])  # with ties of rows that share an id
+                for k, v in c.items():
+                    out[k].extend(v[first].tolist())
+                out["n"].extend([0] * int(first.sum()))
+                out["data"].extend([None] * int(first.sum()))
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=list(out))
+    release()
 
 
 class BlindTrie:
@@ -365,44 +417,47 @@ def covered(size: int, starts: list[tuple[int, int]], length: int) -> list[tuple
     return [(a, b) for a, b in out]
 
 
-def _starts(events: list[dict], th: int) -> list[tuple[int, int]]:
-    """Runs of repeated starts: repeats, and hot runs without the starts that were first of their string."""
-    mine = [x for x in events if np.int32(x["th"]).view(np.uint32) == th]
-    out = [(x["lo"], x["n"]) for x in mine if x["kind"] == REPEAT]
-    first = {x["lo"] for x in mine if x["kind"] == 0}
-    for x in mine:
+def _starts(events: list[dict]) -> list[tuple[int, int]]:
+    """Runs of repeated starts of a text: repeats, and hot runs without the starts that were first of their string."""
+    out = [(x["lo"], x["n"]) for x in events if x["kind"] == REPEAT]
+    first = sorted({x["lo"] for x in events if x["kind"] == FIRST})
+    for x in events:
         if x["kind"] == HOT:
-            at = x["lo"]
-            for f in sorted(f for f in first if x["lo"] <= f < x["lo"] + x["n"]):
+            at, end = x["lo"], x["lo"] + x["n"]
+            for f in first[bisect.bisect_left(first, at) : bisect.bisect_left(first, end)]:
                 if f > at:
                     out.append((at, f - at))
                 at = f + 1
-            if at < x["lo"] + x["n"]:
-                out.append((at, x["lo"] + x["n"] - at))
+            if at < end:
+                out.append((at, end - at))
     return out
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = 1024) -> DataFrame:
     """doc_id, text, spans (array of begin, end in bytes: what repeats) of every row of `docs`.
 
-    Order is by (doc_id, start); a null doc_id comes last. Rows that share a doc_id are told apart by their text; a
-    string at the same id and start as another is not earlier, so fully repeated rows keep what either one keeps.
-    Null is empty; texts under `length` bytes have no span. Other columns are ignored; an empty table gives none.
+    Order is by (doc_id, start); a null doc_id comes last. Rows that share a doc_id, or have none, are told apart by a 64-bit hash
+    of their text; a string at the same id and start as another is not earlier, so fully repeated rows keep what either one
+    keeps. Null is empty; texts under `length` bytes have no span. Other columns are ignored; an empty table gives none.
+
+    Rows meet their events by id and text hash, and equal events are combined before they move: many rows of one id, or none,
+    are as many keys, and copies of one row share one list of events.
     """
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = base.mapInArrow(lambda it: _find(it, length, gram), _ROW)
-    met = settle_table(found.repartition("m").mapInArrow(lambda it: _meet(it, hot), "kind int, m long, doc long, th int, lo int, n int"))
-    keyed = base.select(key.alias("doc"), "doc_id", "text")
-    open_ = met.where(F.col("kind") >= CONTEST).groupBy("doc").agg(F.collect_list(F.struct("kind", "m", "doc", "th", "lo", "n")).alias("at"))
-    bytes_ = per_slice(keyed.join(open_, "doc").select("doc", "text", "at"), lambda part: _cut(part, length), "m long, h long, doc long, th int, lo int, n int, data binary")
-    bytes_ = settle_table(bytes_)
-    sorted_ = bytes_.where("data is not null").repartition("m").mapInArrow(lambda it: _sort(it, length), "kind int, doc long, th int, lo int, n int")
-    firsts = bytes_.where("data is null").groupBy("m", "h").agg(F.min(F.struct("doc", "lo", "th")).alias("x")).select(F.lit(0).alias("kind"), "x.doc", "x.th", "x.lo", F.lit(1).alias("n"))
+    met = settle_table(found.repartition("m").mapInArrow(lambda it: _meet(it, hot), "kind int, m long, doc long, th long, lo int, n int"))
+    keyed = base.select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), F.xxhash64("text").alias("th"), "doc_id", "text")
+    open_ = met.where(F.col("kind") >= CONTEST).groupBy("doc", "th").agg(F.collect_set(F.struct("kind", "m", "lo", "n")).alias("at"))
+    small_batches(docs.sparkSession)
+    bytes_ = settle_table(keyed.join(open_, ["doc", "th"]).select("doc", "th", "text", "at").mapInArrow(lambda it: _cut(it, length), "m long, h long, doc long, th long, lo int, n int, data binary"))
+    sorted_ = bytes_.where("data is not null").repartition("m").mapInArrow(lambda it: _sort(it, length), "kind int, doc long, th long, lo int, n int")
+    firsts = bytes_.where("data is null").groupBy("m", "h").agg(F.min(F.struct("doc", "lo")).alias("x"))
+    # a string that begins at one place of several rows of an id is first in each of them
+    firsts = bytes_.where("data is null").select("m", "h", "doc", "lo", "th").join(firsts, ["m", "h"]).where("doc = x.doc and lo = x.lo").select(F.lit(FIRST).alias("kind"), "doc", "th", "lo", F.lit(1).alias("n"))
     same = ["kind", "doc", "th", "lo", "n"]
     events = met.where(F.col("kind") != CONTEST).select(*same).unionByName(sorted_).unionByName(firsts.select(*same))
-    of = events.groupBy("doc").agg(F.collect_list(F.struct("kind", "th", "lo", "n")).alias("at"))
-    joined = keyed.join(of, "doc", "left").select("doc_id", "text", "at")
+    of = events.groupBy("doc", "th").agg(F.collect_set(F.struct("kind", "lo", "n")).alias("at"))
+    joined = keyed.join(of, ["doc", "th"], "left").select("doc_id", "text", "at")
 
     def run(part: pa.RecordBatch) -> dict:
         spans = []
@@ -411,7 +466,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
                 spans.append([])
                 continue
             b = (text.as_py() or "").encode("utf-8", "surrogatepass")
-            spans.append([{"begin": x, "end": y} for x, y in covered(len(b), _starts(at.as_py(), zlib.crc32(b)), length)])
+            spans.append([{"begin": x, "end": y} for x, y in covered(len(b), _starts(at.as_py()), length)])
         return {"doc_id": part.column(0), "text": part.column(1), "spans": spans}
 
     return per_slice(joined, run, "doc_id long, text string, spans array<struct<begin:long,end:long>>")
@@ -426,7 +481,7 @@ def remove(b: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def query(docs: DataFrame) -> DataFrame:
-    """op3: the contract's columns."""
+    """op3: the contract's columns. Nulls, ties and repeated rows as in `repeats`."""
 
     def run(part: pa.RecordBatch) -> dict:
         out: dict[str, list] = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []}

@@ -107,36 +107,6 @@ def test_language_network_learns_and_covers_whole_texts():
     assert [r for r in langid.predict(net, [texts[0]]).sum(1)] == pytest.approx([1.0])
 
 
-def brute_repeats(rows, length=100):
-    seen, out = {}, {}
-    for d, t in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
-        b = (t or "").encode()
-        hit = bytearray(len(b))
-        for i in range(len(b) - length + 1):
-            w = b[i : i + length]
-            if w in seen:
-                hit[i : i + length] = b"\1" * length
-            else:
-                seen[w] = (d, i)
-        spans = sum(1 for i in range(len(b)) if hit[i] and (i == 0 or not hit[i - 1]))
-        out[d] = (len(b), sum(hit), spans, hashlib.sha256(bytes(x for x, h in zip(b, hit) if not h)).hexdigest())
-    return out
-
-
-@pytest.mark.parametrize("hot", [2, 1024])
-def test_exact_substrings_by_brute_force(spark, monkeypatch, hot):
-    rng = random.Random(1)
-    base = ["".join(rng.choice("ab") for _ in range(400)) for _ in range(5)]
-    rows = []
-    for i in range(120):
-        parts = [rng.choice([rng.choice(base)[rng.randrange(200) :][: rng.randrange(60, 250)], "".join(rng.choice("abcd é") for _ in range(rng.randrange(200))), "a" * rng.randrange(300)]) for _ in range(rng.randrange(5))]
-        rows.append((i * 7 % 127, "".join(parts)))
-    rows += [(400, None), (401, "xyz" * 100), (402, "q" * 9000)]
-    monkeypatch.setattr(exact_substring, "repeats", lambda d, f=exact_substring.repeats: f(d, hot=hot))
-    got = {r[0]: tuple(r[1:]) for r in exact_substring.query(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
-    assert got == brute_repeats(rows)
-
-
 def test_blind_trie_orders_and_groups():
     rng = random.Random(3)
     data = "".join(rng.choice("ab") for _ in range(400)).encode()
