@@ -1,58 +1,43 @@
 """License scans with native expressions: MinHash bands over text windows retrieve templates, exact containment verifies.
 
-A text becomes words (letters and digits, lower case) and hashes of its 3-word shingles. Windows of several sizes slide over
-it by one shingle, so every whole template window in a text is met at its exact place. Each window has `bands` MinHash
-bands of `rows` values; a template one of whose windows shares a band is a candidate. It counts if the text around
-the window holds at least `share` of its shingles exactly.
-
-With similarity s a window meets a template window with probability 1 - (1 - s^rows)^bands: at the defaults, 1 for an exact
-copy, 0.998 at 0.8 and 0.93 at 0.6. Windows without any template shingle cannot pass the containment test and skip the
-banding, which loses nothing.
+A text becomes words (letters and digits, lower case) and hashes of its 3-word shingles. Windows of several sizes, each overlapping
+the next by half, cover it. Every window has `bands` MinHash bands of `rows` values, and each band is looked up in a hash index
+of the bands of all templates' windows; the templates found there, and no others, are candidates. A candidate counts if the text around
+the window holds at least `share` of its shingles exactly. Of templates found at one place the one with the largest share stays.
+
+A template uses the largest window size of which it holds one and a half, so an exact copy holds a whole window at any offset; the index
+has the template's windows at every offset, so that window is met for certain. A window of similarity s is met with probability
+1 - (1 - s^rows)^bands: at the defaults 0.998 at 0.8 and 0.93 at 0.6; a copy has several.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Names and words of common notices.
-TEMPLATES = {
-    "all-rights-reserved": "All rights reserved.",
-    "apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "apache-2.0-header": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0. Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.',
-    "bsd-3-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
-    "cc-by-4.0": "Licensed under CC BY 4.0.",
-    "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
-    "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0.",
-    "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "gpl-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
-    "mit": "Released under the MIT License.",
-    "mit-text": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.',
-    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
-}
+from .license_texts import TEMPLATES
+
 SHINGLE = 3
+#: Slots of the band index.
+SLOTS = 4096
 
 
 @dataclass(frozen=True)
 class Config:
-    """`sizes` are window sizes in shingles: a template uses the largest that it fills. `most_templates` bounds the
-    library, whose shingles and bands travel inside the expressions."""
+    """`sizes` are window sizes in shingles, the first for templates too short for the others. `most_templates` bounds the library, whose
+    band index travels as one constant."""
 
-    sizes: tuple[int, ...] = (1, 3, 6, 12, 24)
+    sizes: tuple[int, ...] = (1, 6, 24)
     bands: int = 6
     rows: int = 2
     share: float = 0.8
     most_templates: int = 500
 
 
-def _longs(values: list[int]) -> Column:
-    return F.array(*[F.lit(v).cast("long") for v in values]) if values else F.array().cast("array<long>")
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body` of a value that is computed once: a projection may be merged into the next one and evaluated for every element
     of a lambda there, a lambda's argument is not."""
@@ -68,74 +53,97 @@ def shingles_of(words: Column) -> Column:
 
     def of(w: Column) -> Column:
         hashed = lambda: F.transform(F.sequence(F.lit(0), F.size(w) - SHINGLE), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(SHINGLE)]))
-        return F.when(F.size(w) >= SHINGLE, hashed()).otherwise(_longs([]))
+        return F.when(F.size(w) >= SHINGLE, hashed()).otherwise(F.array().cast("array<bigint>"))
 
     return let(words, of)
 
 
-def bands_of(window: Column, c: Config) -> Column:
-    """The band hashes of a window: each of `rows` minima under hashes of their own."""
-    least = lambda k: F.array_min(F.transform(window, lambda h: F.xxhash64(h, F.lit(k))))
-    return F.array(*[F.xxhash64(F.lit(b), *[least(b * c.rows + r) for r in range(c.rows)]) for b in range(c.bands)])
+def _pivot(k: int) -> int:
+    """The k-th of fixed 64-bit numbers, as a signed one."""
+    x = (k + 1) * 0x9E3779B97F4A7C15 % (1 << 64)
+    x = (x ^ x >> 31) * 0xBF58476D1CE4E5B9 % (1 << 64)
+    x ^= x >> 29
+    return x - (1 << 64) if x >> 63 else x
+
+
+def bands_of(window: Column, size: int, c: Config) -> Column:
+    """The band hashes of a window: each of `rows` minima, a minimum being the hash nearest to a fixed number. One shingle is one band."""
+    if size == 1:
+        return F.array(F.xxhash64(F.lit(-1), F.get(window, F.lit(0))))
+    least = lambda k: F.array_min(F.transform(window, lambda h: h.bitwiseXOR(F.lit(_pivot(k)))))
+    return F.array(*[F.xxhash64(F.lit(size), F.lit(b), *[least(b * c.rows + r) for r in range(c.rows)]) for b in range(c.bands)])
+
+
+def window_size(n: int, c: Config) -> int:
+    """The window size of a template of n shingles."""
+    return max((s for s in c.sizes if 2 * n >= 3 * s - 2), default=min(c.sizes))
+
+
+def _windows(h: Column, size: int, step: int, c: Config) -> Column:
+    """The bands of the windows of one size, one after the other."""
+    starts = F.when(F.size(h) >= size, F.sequence(F.lit(0), F.size(h) - size, F.lit(step))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: let(F.slice(h, i + 1, F.lit(size)), lambda w: bands_of(w, size, c)))
 
 
-def library(spark: SparkSession, templates: dict[str, str], c: Config) -> list[dict]:
-    """For each template: name, shingles, window size, bands of its windows; computed with the same expressions."""
+def library(spark: SparkSession, templates: dict[str, str], c: Config) -> tuple[list[dict], list[list[dict]]]:
+    """For each template name, shingles and window size; and the band index: for each slot, pairs of band and template number."""
     if len(templates) > c.most_templates:
         raise ValueError(f"more than {c.most_templates} templates")
-    df = spark.createDataFrame(sorted(templates.items()), "name string, text string").withColumn("h", shingles_of(words_of(F.col("text"))))
-    size = F.lit(0)
-    for s in sorted(c.sizes):
-        size = F.when(F.size("h") >= s, s).otherwise(size)
-    df = df.withColumn("size", size).where("size > 0")
-    # windows at half steps, and the last one
-    n = F.size("h") - F.col("size")
-    df = df.withColumn("at", F.array_distinct(F.concat(F.sequence(F.lit(0), n, F.greatest((F.col("size") / 2).cast("int"), F.lit(1))), F.array(n))))
-    df = df.withColumn("bands", F.flatten(F.transform("at", lambda i: let(F.slice("h", i + 1, F.col("size")), lambda w: bands_of(w, c)))))
-    return [r.asDict() for r in df.select("name", "size", "h", "bands").collect()]
-
-
-def scan(docs: DataFrame, templates: dict[str, str] | None = None, c: Config = Config()) -> DataFrame:
+    df = spark.createDataFrame(sorted(templates.items()), "name string, text string").select("name", shingles_of(words_of(F.col("text"))).alias("h")).where("size(h) > 0")
+    rows = df.orderBy("name").collect()  # at most `most_templates`
+    lib = [{"name": r["name"], "n": len(r["h"]), "size": window_size(len(r["h"]), c), "h": sorted(set(r["h"]))} for r in rows]
+    number = {t["name"]: i for i, t in enumerate(lib)}
+    index: list[list[dict]] = [[] for _ in range(SLOTS)]
+    for size in sorted({t["size"] for t in lib}):
+        own = df.where(F.col("name").isin([t["name"] for t in lib if t["size"] == size]))
+        for r in own.select("name", F.array_distinct(F.flatten(_windows(F.col("h"), size, 1, c))).alias("bands")).collect():
+            for k in r["bands"]:
+                index[k % SLOTS].append({"k": k, "t": number[r["name"]]})
+    return lib, index
+
+
+def candidates(h: Column, size: int, index: Column, c: Config) -> Column:
+    """(at, found): windows of one size with a band in the index, and the templates that it names there."""
+    look = lambda k: F.transform(F.filter(F.get(index, k.bitwiseAND(F.lit(SLOTS - 1)).cast("int")), lambda x: x["k"] == k), lambda x: x["t"])
+    step = max(size // 2, 1)
+    met = F.transform(_windows(h, size, step, c), lambda bands, i: F.struct((i * step).alias("at"), F.array_distinct(F.flatten(F.transform(bands, look))).alias("found")))
+    return F.filter(met, lambda x: F.size(x["found"]) > 0)
+
+
+def scan(docs: DataFrame, templates: dict[str, str] | None = None, c: Config = Config(), overlapping: bool = False) -> DataFrame:
     """doc_id, licenses (sorted names), best (largest share of a template's shingles found) of every row of `docs`.
 
     Null, empty and short texts have none. Repeated rows each give a row; columns besides doc_id and text are ignored; an
-    empty table gives none. There is no shuffle: the library has a bound and is part of the expressions.
+    empty table gives none. Equal shares at one place all stay; `overlapping` keeps smaller ones too. There is no shuffle: the
+    library has a bound and is a constant.
     """
-    lib = library(docs.sparkSession, TEMPLATES if templates is None else templates, c)
+    lib, slots = library(docs.sparkSession, TEMPLATES if templates is None else templates, c)
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    none = F.array().cast("array<struct<name:string,share:double>>")
     if not lib:
         return ids.select("doc_id", F.array().cast("array<string>").alias("licenses"), F.lit(0.0).alias("best"))
-    known = sorted({h for t in lib for h in t["h"]})
-    sizes = sorted({t["size"] for t in lib})
-
-    def signed(h: Column, hit: Column, size: int) -> Column:
-        """Begin and bands of the windows that hold a template shingle."""
-        last = F.size(h) - size
-        around = lambda i: F.sequence(F.greatest(i - (size - 1), F.lit(0)), F.least(i, last))
-        near = F.when(last >= 0, F.array_distinct(F.flatten(F.transform(F.filter(hit, lambda i: F.greatest(i - (size - 1), F.lit(0)) <= last), around)))).otherwise(F.array().cast("array<int>"))
-        return F.transform(near, lambda i: F.struct(i.alias("at"), let(F.slice(h, i + 1, F.lit(size)), lambda w: bands_of(w, c)).alias("bands")))
-
-    def best_share(windows: Column, h: Column, t: dict) -> Column:
-        """A template's name and its best exact containment in the text around the windows that share a band with it."""
-        n, own = len(t["h"]), sorted(set(t["h"]))
-        met = F.filter(windows, lambda w: F.arrays_overlap(w["bands"], _longs(t["bands"])))
-        share = F.transform(met, lambda w: F.size(F.array_intersect(_longs(own), F.slice(h, F.greatest(w["at"] - n, F.lit(0)) + 1, F.lit(2 * n + t["size"])))) / F.lit(float(len(own))))
-        return F.struct(F.lit(t["name"]).alias("name"), F.coalesce(F.array_max(share), F.lit(0.0)).alias("share"))
-
-    def of_size(h: Column, hit: Column, size: int) -> Column:
-        return let(signed(h, hit, size), lambda w: F.filter(F.array(*[best_share(w, h, t) for t in lib if t["size"] == size]), lambda x: x["share"] >= c.share))
-
-    def found(h: Column, hit: Column) -> Column:
-        return F.when(F.size(hit) > 0, F.concat(*[of_size(h, hit, size) for size in sizes])).otherwise(none)
-
-    hits = lambda h: F.filter(F.transform(h, lambda x, i: F.when(x.isin(known), i)), lambda i: i.isNotNull())
-    all_ = let(shingles_of(words_of(F.col("text"))), lambda h: let(hits(h), lambda hit: found(h, hit)))
+    index = F.from_json(F.lit(json.dumps(slots)), "array<array<struct<k:bigint,t:int>>>")
+    known = F.from_json(F.lit(json.dumps(lib)), "array<struct<name:string,n:int,size:int,h:array<bigint>>>")
+
+    def verified(h: Column, x: Column, number: Column) -> Column:
+        t = F.get(known, number)
+        around = F.slice(h, F.greatest(x["at"] - t["n"], F.lit(0)) + 1, F.lit(2) * t["n"] + t["size"])
+        share = F.size(F.array_intersect(t["h"], around)) / F.size(t["h"]).cast("double")
+        return F.struct(share.alias("share"), (-x["at"]).alias("before"), t["name"].alias("name"), t["n"].alias("n"))
+
+    def found(h: Column) -> Column:
+        met = F.concat(*[candidates(h, size, index, c) for size in sorted({t["size"] for t in lib})])
+        all_ = F.flatten(F.transform(met, lambda x: F.transform(x["found"], lambda number: verified(h, x, number))))
+        fine = F.array_distinct(F.filter(all_, lambda y: y["share"] >= c.share))
+        first = lambda xs: F.filter(xs, lambda x: ~F.exists(xs, lambda y: (y["name"] == x["name"]) & (y > x)))
+        alone = lambda xs: xs if overlapping else F.filter(xs, lambda x: ~F.exists(xs, lambda y: (y["share"] > x["share"]) & (F.abs(y["before"] - x["before"]) < F.greatest(x["n"], y["n"]))))
+        return let(fine, lambda xs: let(first(xs), alone))
+
+    all_ = let(shingles_of(words_of(F.col("text"))), found)
     digest = let(all_, lambda x: F.struct(F.array_sort(F.transform(x, lambda y: y["name"])).alias("licenses"), F.coalesce(F.array_max(F.transform(x, lambda y: y["share"])), F.lit(0.0)).alias("best")))
     return ids.select("doc_id", digest.alias("x")).select("doc_id", "x.licenses", "x.best")
 
 
 def query(docs: DataFrame) -> DataFrame:
-    """op5: names of the licenses in each document, as text, their number and the best containment."""
+    """op5: names of the licenses in each document, as text, their number and the best containment; a row for each row of `docs`, as in `scan`."""
     got = scan(docs)
     return got.select("doc_id", F.array_join("licenses", ",").alias("licenses"), F.size("licenses").cast("long").alias("n_licenses"), "best")
