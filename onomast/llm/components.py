@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import settle, settle_table
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -41,3 +41,21 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
         mark = seen
     raise RuntimeError(f"components did not settle in {rounds} rounds")
+
+
+#: A root with more than this part of all rows is hot; there are fewer hot roots than this.
+PARTS = 1000
+
+
+def least_of_root(named: DataFrame, value: str, into: str) -> DataFrame:
+    """The rows of `named`, a settled table with `root`, with the least `value` of their root as `into`.
+
+    Minima are combined before the shuffle. Roots that hold over a PARTS-th of all rows, fewer than PARTS by count, are looked up by
+    broadcast, so that the rows of no root meet in one task; the others meet by root.
+    """
+    least = settle_table(named.groupBy("root").agg(F.min(value).alias(into), F.count("*").alias("__n")))
+    total = least.agg(F.sum("__n")).first()[0] or 0
+    is_hot = F.col("__n") * PARTS > total
+    hot = F.broadcast(least.where(is_hot).drop("__n"))  # fewer than PARTS rows
+    rest = named.join(F.broadcast(least.where(is_hot).select("root")), "root", "left_anti")
+    return named.join(hot, "root").unionByName(rest.join(least.where(~is_hot).drop("__n"), "root"))

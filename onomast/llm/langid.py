@@ -7,6 +7,7 @@ its windows'. For prediction, embedding and filters are folded into one table fo
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,17 +24,19 @@ WIDTHS = (2, 3, 4)
 
 @dataclass(frozen=True)
 class Config:
-    """`per_lang` bounds the texts of a language, and `langs` the languages, that are brought to the driver for training."""
+    """`per_lang` bounds the texts of a language that the network learns from, and `all_langs` those of all languages together: with many
+    languages each has fewer. `windows_per_text` bounds the windows of each, drawn over the whole text by a hash. Only these windows
+    come to the driver. Every language of the labels can be predicted."""
 
     per_lang: int = 400
-    langs: int = 64
+    all_langs: int = 25_600
     window: int = 256
     embedding: int = 6
     filters: int = 12
     epochs: int = 6
     batch: int = 64
     rate: float = 0.01
-    windows_per_text: int = 4
+    windows_per_text: int = 8
     seed: int = 3
 
 
@@ -111,23 +114,45 @@ def windows(data: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
     return x, of
 
 
+def drawn(x: np.ndarray, of: np.ndarray, keys: np.ndarray, c: Config) -> np.ndarray:
+    """Numbers of the windows that training uses: of each text the `windows_per_text` whose hashes with the text's key are least."""
+    nth = np.arange(len(of)) - np.searchsorted(of, of)
+    mixed = (keys.astype(np.int64).view(np.uint64)[of] + nth.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    order = np.lexsort((mixed ^ (mixed >> np.uint64(29)), of))
+    rank = np.arange(len(of)) - np.searchsorted(of[order], of[order])
+    return np.sort(order[rank < c.windows_per_text])
+
+
+def encoded(texts: list[str]) -> list[bytes]:
+    return [t.lower().encode("utf-8", "surrogatepass") for t in texts]
+
+
 def train(texts: list[str], langs: list[str], c: Config = Config()) -> Net:
+    """A network of labelled texts."""
+    if not texts:
+        return new_net([], c)
+    x, of = windows(encoded(texts), c.window)
+    some = drawn(x, of, np.arange(len(texts)), c)
+    return train_windows(x[some], [langs[i] for i in of[some]], c)
+
+
+def train_windows(x: np.ndarray, langs: list[str], c: Config = Config()) -> Net:
+    """A network of labelled windows, languages drawn alike often."""
     names = sorted(set(langs))
     net = new_net(names, c)
-    if not texts:
+    if not len(x):
         return net
-    data = [t.lower().encode("utf-8", "surrogatepass") for t in texts]
-    x, of = windows(data, c.window)
     rng = np.random.default_rng(c.seed)
-    nth = np.arange(len(of)) - np.searchsorted(of, of)
-    x, of = x[nth < c.windows_per_text], of[nth < c.windows_per_text]
-    y = np.array([names.index(v) for v in langs])[of]
+    number = {k: i for i, k in enumerate(names)}
+    y = np.array([number[v] for v in langs])
     share = np.bincount(y, minlength=len(names)).astype(float)
+    weight = 1 / share[y]
+    weight /= weight.sum()
     m, v, t = [np.zeros_like(p) for p in net.params()], [np.zeros_like(p) for p in net.params()], 0
     steps = max(c.epochs * len(y) // c.batch, 60)
     for _ in range(steps):
-        weight = 1 / share[y]
-        pick = rng.choice(len(y), min(c.batch, len(y)), p=weight / weight.sum())
+        pick = rng.choice(len(y), min(c.batch, len(y)), p=weight)
         t += 1
         for i, (p, g) in enumerate(zip(net.params(), _train_step(net, x[pick], y[pick]), strict=True)):
             m[i] = 0.9 * m[i] + 0.1 * g
@@ -144,7 +169,7 @@ def fold(net: Net) -> list[list[np.ndarray]]:
 def predict(net: Net, texts: list[str], tables: list[list[np.ndarray]] | None = None, rows: int = 128) -> np.ndarray:
     """Mean probabilities, a row for each text."""
     tables = tables or fold(net)
-    x, of = windows([t.lower().encode("utf-8", "surrogatepass") for t in texts], net.window)
+    x, of = windows(encoded(texts), net.window)
     total = np.zeros((len(texts), len(net.langs)))
     for lo in range(0, len(x), rows):
         part = x[lo : lo + rows]
@@ -160,25 +185,34 @@ def predict(net: Net, texts: list[str], tables: list[list[np.ndarray]] | None =
     return total / np.bincount(of, minlength=len(texts))[:, None]
 
 
-def sample(docs: DataFrame, c: Config = Config()) -> tuple[list[str], list[str]]:
-    """Labelled texts outside the held-out fold, at most `per_lang` of each language, chosen by a hash of the id.
+def sample(docs: DataFrame, c: Config = Config()) -> tuple[np.ndarray, list[str]]:
+    """Windows of labelled texts outside the held-out fold, and their languages.
 
-    Ids are ranked before texts are read: the ranking moves ids alone and keeps the first rows of each language in
-    every task, so a language with most rows is no burden.
+    Texts are chosen by a hash of id and text, and equal rows count once, so no id or group of copies fills the sample. The driver
+    gets one row for each language, then about 2 x `per_lang` x `windows_per_text` windows of each.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (crc_mod("doc_id", 3) != 1))
-    best = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(c.langs).collect()
-    total = {r["lang"]: r["n"] for r in best}
+    known = known.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", F.xxhash64("doc_id", "text").alias("h"))
+    total = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
     if not total:
-        return [], []
+        return np.zeros((0, c.window), np.uint8), []
+    per_lang = max(1, min(c.per_lang, c.all_langs // len(total)))
     # a share of each language that holds about twice the bound, then the bound itself
-    odds = F.coalesce(*[F.when(F.col("lang") == F.lit(k), F.lit(min(1.0, 2.0 * c.per_lang / n))) for k, n in total.items()], F.lit(0.0))
-    spread = (F.xxhash64("doc_id") % 1_000_003 + 1_000_003) % 1_000_003 / F.lit(1_000_003.0)
-    some = known.where(spread < odds).select("doc_id", "text", "lang").toArrow()
-    rows = sorted(zip(some.column("lang").to_pylist(), some.column("doc_id").to_pylist(), some.column("text").to_pylist(), strict=True))
-    seen: dict[str, int] = {}
-    out = [(t, k) for k, _, t in rows if (seen.update({k: seen.get(k, 0) + 1}) or seen[k]) <= c.per_lang]
-    return [t for t, _ in out], [k for _, k in out]
+    odds = F.element_at(F.from_json(F.lit(json.dumps({k: min(1.0, 2.0 * per_lang / n) for k, n in total.items()})), "map<string,double>"), F.col("lang"))
+    spread = F.pmod("h", F.lit(1_000_003)) / F.lit(1_000_003.0)
+    some = known.where(spread < odds).groupBy("lang", "doc_id", "h").agg(F.first("text").alias("text"))
+
+    def run(part: pa.RecordBatch) -> dict:
+        x, of = windows(encoded(part.column(3).to_pylist()), c.window)
+        pick = drawn(x, of, part.column(2).to_numpy(), c)
+        who = of[pick]
+        return {"lang": part.column(0).take(pa.array(who)), "doc_id": part.column(1).take(pa.array(who)), "h": part.column(2).take(pa.array(who)), "nth": pick - np.searchsorted(of, who), "x": [x[i].tobytes() for i in pick]}
+
+    got = per_slice(some.select("lang", "doc_id", "h", "text"), run, "lang string, doc_id long, h long, nth long, x binary").toArrow()
+    rows = sorted(zip(*(got.column(k).to_pylist() for k in ("lang", "doc_id", "h", "nth", "x")), strict=True))
+    texts: dict[str, set] = {}
+    kept = [(k, x) for k, d, h, _, x in rows if (d, h) in texts.setdefault(k, set()) or len(texts[k]) < per_lang and not texts[k].add((d, h))]
+    return np.frombuffer(b"".join(x for _, x in kept), np.uint8).reshape(-1, c.window), [k for k, _ in kept]
 
 
 def identify(docs: DataFrame, net: Net) -> DataFrame:
@@ -202,6 +236,6 @@ def identify(docs: DataFrame, net: Net) -> DataFrame:
 
 
 def query(docs: DataFrame, c: Config = Config()) -> DataFrame:
-    """op2: the contract's columns."""
-    got = identify(docs, train(*sample(docs, c), c))
+    """op2: the contract's columns; `held_out` is null where the doc_id is. The rest as in `identify`."""
+    got = identify(docs, train_windows(*sample(docs, c), c))
     return got.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")

@@ -151,6 +151,12 @@ def labelled(docs: DataFrame, labels: DataFrame, rows: int, held_mod: int = 5) -
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id")  # `rows` bounds the broadcast
 
 
+def one_of_each(rows: DataFrame, names: list[str]) -> DataFrame:
+    """doc_id, quality and statistics of one text of each id, that of the least hash: `rows` of labels bound what the driver gets, however
+    many texts share an id."""
+    return rows.groupBy("doc_id").agg(F.min_by(F.struct("quality", *names), "h").alias("x")).select("doc_id", "x.*")
+
+
 def train(docs: DataFrame, labels: DataFrame, c: Config = Config()) -> RuleModel:
     rows = labelled(docs, labels, c.sample_rows)
     got = _features(rows)
@@ -161,11 +167,13 @@ def train(docs: DataFrame, labels: DataFrame, c: Config = Config()) -> RuleModel
 
 
 def _features(rows: DataFrame):
-    """Statistics and label of the sample, without its texts; the sample is small."""
+    """Statistics and label of the sample, without its texts; a row for each label."""
+
     def run(part) -> dict:
-        return stats(texts_of(part)) | {"doc_id": part.column(0), "quality": part.column(2)}
+        return stats(texts_of(part)) | {"doc_id": part.column(0), "quality": part.column(2), "h": part.column(3)}
 
-    return per_slice(rows.select("doc_id", "text", F.col("quality").cast("long").alias("quality")), run, f"doc_id long, quality long, {SCHEMA}").toArrow()
+    got = per_slice(rows.select("doc_id", "text", F.col("quality").cast("long").alias("quality"), F.xxhash64("text").alias("h")), run, f"doc_id long, quality long, h long, {SCHEMA}")
+    return one_of_each(got, FEATURES).toArrow()
 
 
 def score(docs: DataFrame, model: RuleModel, cut: float = Config.cut) -> DataFrame:
@@ -179,12 +187,16 @@ def score(docs: DataFrame, model: RuleModel, cut: float = Config.cut) -> DataFra
 
 
 def keep_good(docs: DataFrame, model: RuleModel, cut: float = Config.cut) -> DataFrame:
-    """The rows of `docs` that the model predicts as good, all columns."""
+    """The rows of `docs` that the model predicts as good, all columns.
+
+    Null and empty texts have zero statistics and are judged by them; repeated rows stay or go together; columns of any name are
+    carried; an empty table gives none.
+    """
     got = carried(docs, lambda part: stats(texts_of(part)), SCHEMA)
     return got.where(model.column() >= cut).select("row.*")
 
 
 def query(docs: DataFrame, labels: DataFrame, c: Config = Config()) -> DataFrame:
-    """op1: the contract's columns."""
+    """op1: the contract's columns; `held_out` is null where the doc_id is. The rest as in `score`."""
     got = score(docs, train(docs, labels, c), c.cut)
     return got.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", "predicted")

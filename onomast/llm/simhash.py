@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import jaccard
-from .common import per_slice, settle, texts_of
-from .components import components
+from .common import per_slice, settle, settle_table, texts_of
+from .components import components, least_of_root
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
 #: A shard with more fingerprints than this is cut again by a second set of parts.
@@ -91,28 +91,53 @@ def _near(x: np.ndarray, y: np.ndarray, radius: int) -> tuple[np.ndarray, np.nda
     return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, int), np.zeros(0, int))
 
 
-def vp_links(points: np.ndarray, radius: int = RADIUS) -> list[tuple[np.ndarray, np.ndarray]]:
-    """All linked pairs of distinct 64-bit points, by a vantage-point tree; index arrays into `points`."""
-    out, todo = [], [np.arange(len(points))]
+def vp_links(points: np.ndarray, radius: int = RADIUS, whole: bool = True) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Linked pairs of distinct 64-bit points, by a vantage-point tree; index arrays into `points`.
+
+    All pairs, or, if not `whole`, enough of them to join what is linked: the points within the radius of a vantage point form a
+    star, and a set of points that are joined already is not searched again. So a tight ball costs one star, not its square.
+    """
+    out, todo, group = [], [np.arange(len(points))], np.arange(len(points))
+
+    def join(a: np.ndarray, b: np.ndarray) -> None:
+        out.append((a, b))
+        if not whole and len(a):
+            names, at = np.unique(group[np.r_[a, b]], return_inverse=True)
+            root = names[_forest(len(names), [(at[: len(a)], at[len(a) :])])]
+            where = np.searchsorted(names, group)
+            known = (where < len(names)) & (names[np.minimum(where, len(names) - 1)] == group)
+            group[known] = root[where[known]]
+
+    def apart(at: np.ndarray) -> bool:
+        return whole or bool((group[at] != group[at[0]]).any())
+
     while todo:
         at = todo.pop()
+        if len(at) < 2 or not apart(at):
+            continue
         if len(at) <= LEAF:
             i, j = _near(points[at], points[at], radius)
-            out.append((at[i[i < j]], at[j[i < j]]))
+            join(at[i[i < j]], at[j[i < j]])
             continue
         far = np.bitwise_count(points[at] ^ points[at[0]])
+        if not whole:
+            ball = at[(far <= radius) & (far > 0)]
+            join(np.full(len(ball), at[0]), ball)
+            if not apart(at):
+                continue
         mid = int(np.median(far))
         inner = far <= mid
         if inner.all():
             inner = far < mid
         if not inner.any() or inner.all():  # all at one distance from the vantage point: no ring tells them apart
             i, j = _near(points[at], points[at], radius)
-            out.append((at[i[i < j]], at[j[i < j]]))
+            join(at[i[i < j]], at[j[i < j]])
             continue
         edge = int(far[inner].max())
         x, y = at[inner & (far >= int(far[~inner].min()) - radius)], at[~inner & (far <= edge + radius)]
-        i, j = _near(points[x], points[y], radius)
-        out.append((x[i], y[j]))
+        if len(x) and len(y) and apart(np.r_[x, y]):
+            i, j = _near(points[x], points[y], radius)
+            join(x[i], y[j])
         todo += [at[inner], at[~inner]]
     return out
 
@@ -151,7 +176,7 @@ def _shard_links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.
         i = i[np.bitwise_count(fp[i] ^ fp[i + d]) <= radius]
         links.append((i, i + d))
     for s, n in zip(start[length > LEAF].tolist(), length[length > LEAF].tolist(), strict=True):
-        links += [(a + s, b + s) for a, b in vp_links(fp[s : s + n], radius)]
+        links += [(a + s, b + s) for a, b in vp_links(fp[s : s + n], radius, whole=False)]
     root = _forest(len(fp), links)
     tied = np.flatnonzero(root != np.arange(len(fp)))
     u, v = fp[tied].view(np.int64), fp[root[tied]].view(np.int64)
@@ -188,9 +213,8 @@ def ball_components(docs: DataFrame, blocks: int = 6, radius: int = RADIUS) -> D
     fps = settle(fingerprints(docs))
     points = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(points.select("fp"), blocks, radius).distinct(), rounds=40)
-    named = points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = named.join(ids, "root").select("fp", "component_id")
+    named = settle_table(points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    of = least_of_root(named, "least", "component_id").select("fp", "component_id")
     return fps.join(of, "fp", "left").select("doc_id", "fp", "component_id")
 
 
@@ -200,6 +224,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return jaccard.near_duplicates(docs)
 
 
+def deduplicate(docs: DataFrame) -> DataFrame:
+    """The rows of `docs`, all columns, that stay when each component of `near_duplicates` keeps its row of least id."""
+    return jaccard.deduplicate(docs)
+
+
 def query(docs: DataFrame) -> DataFrame:
     """op10: the contract's columns."""
     got = ball_components(docs)

@@ -76,3 +76,33 @@ def test_bucket_links_are_whole():
         want = [(i, j) for i, j in itertools.combinations(range(25), 2) if alike(set(sets[i].tolist()), set(sets[j].tolist()))]
         a, b = (simhash._forest(25, [(np.array([x for x, _ in e], int), np.array([y for _, y in e], int))]) for e in (list(zip(u, v)), want))
         assert (a == b).all() and set(map(lambda e: tuple(sorted(e)), zip(u, v))) <= set(want)
+
+
+def test_crowds_that_share_a_passage_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "CROWD", 6)
+    rng = random.Random(8)
+    passage = " ".join(f"p{i}" for i in range(70))
+    pool = [" ".join(f"q{k}_{i}" for i in range(12)) for k in range(6)]  # stretches that many texts share too
+    rows = []
+    for i in range(90):
+        own = " ".join(rng.sample(pool, 2)) + " " + " ".join(f"u{i}_{j}" for j in range(rng.randrange(3, 12)))
+        rows.append((i, f"{passage} {own}"))
+        if i % 5 == 0:
+            rows.append((1000 + i, f"{passage} {own} tail{i}"))
+    sets = plain_sets(rows)
+    root = plain_components(sets)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    least = {r: min(rows[j][0] for j in range(len(rows)) if root[j] == r) for r in set(root)}
+    assert got == {rows[i][0]: least[root[i]] for i in range(len(rows))}
+
+
+def test_tight_ball_is_joined_by_a_star():
+    rng = np.random.default_rng(2)
+    flips = [sum(1 << int(b) for b in rng.choice(64, rng.integers(1, 3), replace=False)) for _ in range(3000)]
+    points = np.unique(np.uint64(0x0123456789ABCDEF) ^ np.array(flips, np.uint64))
+    out = simhash.vp_links(points, whole=False)
+    root = simhash._forest(len(points), out)
+    assert (root == 0).all() and sum(len(a) for a, _ in out) < 40 * len(points)
+    some = np.unique(np.r_[points[:400], rng.integers(0, 1 << 63, 400, dtype=np.uint64)])
+    a, b = (simhash._forest(len(some), simhash.vp_links(some, whole=w)) for w in (True, False))
+    assert (a == b).all()

@@ -71,6 +71,9 @@ def test_quality_columns_equal_numpy_and_folds(spark, docs, labels):
     assert ((model.score(x) > 0.5) == y).mean() > 0.97
     df = spark.createDataFrame([[float(v) for v in r] for r in x], textstats.FEATURES)
     assert np.allclose([r[0] for r in df.select(model.column()).collect()], model.score(x))
+    # texts that share an id count once, ids of the held-out fold never
+    twice = docs.unionByName(docs.withColumn("text", F.concat(F.coalesce("text", F.lit("")), F.lit(" more"))))
+    assert quality._features(quality.labelled(twice, labels, 100)).num_rows == quality.labelled(docs.dropDuplicates(["doc_id"]), labels, 100).count()
     for r in quality.query(docs, labels).where("doc_id is not null").collect():
         assert r["held_out"] == (fold(r["doc_id"], 5) == 0) and 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3)
     assert {r["doc_id"] for r in quality.labelled(docs, labels, 100).collect()} & {i for i in range(400) if fold(i, 5) == 0} == set()
@@ -206,6 +209,83 @@ def test_pieces_round_trip_distinct_and_distribution():
         assert m / first[top] == pytest.approx(prob[k] / (1 - prob[top]), abs=0.05)
 
 
+def test_every_segmentation_by_enumeration():
+    v = pieces.vocabulary("", 1.0)
+    weight = {v.bytes[int(i)]: float(w) for i, w in zip(v.ids, v.weights)}
+
+    def all_of(b):
+        return [()] if not b else [(b[:n], *rest) for n in range(1, len(b) + 1) if b[:n] in weight for rest in all_of(b[n:])]
+
+    for text in ("cats", "a cat", "éa"):
+        got = pieces.encode_texts([text], np.array([5]), pieces.Config(samples=100))[0]
+        mine = {tuple(v.bytes[i] for i in p.tolist()): x for p, x in zip(got[0], got[1])}
+        head = b"".join(next(iter(mine)))
+        want = {s: sum(weight[x] for x in s) for s in all_of(head)}
+        total = math.log(sum(math.exp(x) for x in want.values()))
+        assert head.strip() == text.encode() and set(mine) == set(want)
+        assert all(mine[s] == pytest.approx(x - total, abs=1e-4) for s, x in want.items())
+
+
+def test_language_sample_is_drawn_over_whole_texts(spark):
+    rows = [(i, "x" * 250 * 40, "en") for i in range(6)] + [(9, "y", "de")] * 50 + [(10, None, "fr"), (None, "z", "it"), (11, "q", None)]
+    c = langid.Config(per_lang=4, windows_per_text=5)
+    x, langs = langid.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), c)
+    n = sum(fold(i, 3) != 1 for i in range(6))
+    assert Counter(langs) == {"en": 5 * min(n, 4), "de": 1} if fold(9, 3) != 1 else True
+    w, of = langid.windows([b"a" * 250 * 40], 256)
+    assert langid.drawn(w, of, np.array([7]), c).max() > 5  # not a prefix
+
+
+def plain_network(net, data):
+    """Mean probabilities of a text by the network as it was trained: embedding, filters, maximum, softmax."""
+    lap = max(langid.WIDTHS) - 1
+    step, out = net.window - lap, []
+    for at in range(0, max(1, len(data) - lap), step):
+        x = np.frombuffer(data[at : at + net.window].ljust(net.window, b"\0"), np.uint8)
+        h = [np.max([sum(net.embed[x[i + j]] @ f[j] for j in range(w)) + b for i in range(len(x) - w + 1)], 0) for f, b, w in zip(net.filters, net.bias, langid.WIDTHS)]
+        z = np.maximum(np.concatenate(h), 0) @ net.out + net.out_bias
+        e = np.exp(z - z.max())
+        out.append(e / e.sum())
+    return np.mean(out, 0)
+
+
+def test_language_query_by_the_unfolded_network(spark):
+    rng = random.Random(12)
+    words = {"en": "the and with under other thing".split(), "de": "der und mit unter ander ding".split()}
+    rows = [(i, " ".join(rng.choice(words[k]) for _ in range(rng.randrange(1, 90))), k) for i in range(60) for k in [rng.choice(["en", "de"])]]
+    rows += [(200, None, "en"), (201, "", None), (202, "12 34 !", "de"), (None, "the other thing", None), (203, "the ÜNDER " * 700, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
+    net = langid.train_windows(*langid.sample(df))
+    want = []
+    for i, t, _ in rows:
+        p = plain_network(net, (t or "").lower().encode())
+        ok = any(ch.isalpha() for ch in t or "")
+        want.append((i, None if i is None else fold(i, 3) == 1, net.langs[int(p.argmax())] if ok else "und", round(float(p.max()), 4) if ok else 0.0))
+    got = [(r["doc_id"], r["held_out"], r["lang_pred"], round(r["score"], 4)) for r in langid.query(df).collect()]
+    key = lambda r: (repr(r[:3]), r[3])
+    assert all(a[:3] == b[:3] and a[3] == pytest.approx(b[3], abs=2e-3) for a, b in zip(sorted(got, key=key), sorted(want, key=key), strict=True))
+
+
+def test_quality_and_rules_queries_by_brute_force(spark, rows, docs, labels):
+    """Scores, folds and verdicts of each row by the model's own arithmetic; counts by plain Python."""
+    model, forest = quality.train(docs, labels), isolation.train(docs, labels)
+    st = textstats.stats([t or "" for _, t in rows])
+    score = model.score(np.array([st[f] for f in textstats.FEATURES]).T)
+    want = sorted(((i, None if i is None else fold(i, 5) == 0, round(float(x), 6), int(x >= 0.3)) for (i, _), x in zip(rows, score)), key=repr)
+    assert sorted(((r[0], r[1], round(r[2], 6), r[3]) for r in quality.query(docs, labels).collect()), key=repr) == want
+    out = []
+    for (i, t), anomaly in zip(rows, forest.score(isolation.rule_matrix(st))):
+        w = [x for x in re.split(r"[\x20\x09-\x0D]+", t or "") if x]
+        lines = [x for x in (t or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        grams = [tuple(w[k : k + 5]) for k in range(len(w) - 4)]
+        often = Counter(grams)
+        again = len({k + j for k, g in enumerate(grams) if often[g] > 1 for j in range(5)})
+        failed = len(w) < 10 or 100 * again > 20 * len(w)
+        out.append((i, len(w), sum(map(len, w)), sum(ch in "#*$%&|<>" for ch in t or ""), len(lines) - len(set(lines)), again, failed, bool(not failed and anomaly <= forest.threshold)))
+    got = isolation.query(docs, labels).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(out, key=repr) and any(x[-1] for x in out)
+
+
 def plain_fingerprint(t):
     w = re.split(r"[\x20\x09-\x0D]+", "".join(chr(ord(ch) + 32) if "A" <= ch <= "Z" else ch for ch in t or ""))
     w = [x for x in w if x]
