@@ -35,7 +35,7 @@ def tables(spark, tmp_path_factory):
     where = str(tmp_path_factory.mktemp("sf"))
     docs = spark.createDataFrame([(i, t, "en", f"s{n % 3}", len(t or ""), n, "x") for n, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars int, row int, node string")
     docs.repartition(3).write.parquet(f"{where}/documents.parquet")
-    spark.createDataFrame([(i, int(i < 300), 0) for i, _ in rows if i is not None and i != 7], "doc_id long, quality int, toxic int").write.parquet(f"{where}/labels.parquet")
+    spark.createDataFrame([(i, int(not 300 <= i < 400), 0) for i, _ in rows if i is not None and i != 7], "doc_id long, quality int, toxic int").write.parquet(f"{where}/labels.parquet")
     spark.createDataFrame([(1, ITEM), (2, "another item of nine words about the quiet harbor today"), (3, "two words")], "item_id long, text string").write.parquet(f"{where}/benchmark.parquet")
     return where, rows
 
