@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from collections.abc import Callable
-from functools import reduce
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -17,33 +18,37 @@ TITLES = r"s\.?|st\.?|ste\.?|saincte?|sainte?|monsieur|mr\.?|le sieur|sieur"
 RELIGIOUS = r"s\.?|st\.?|ste|sainct|sainte?"
 
 
-def _folds() -> tuple[str, str, list[tuple[str, str]]]:
-    """Latin characters with a compatibility decomposition: those that fold to one character, and the rest."""
-    src, dst, longer = [], [], []
-    for cp in [*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0x2000, 0x2070), 0x17F, *range(0xFB00, 0xFB07)]:
+@lru_cache(maxsize=1)
+def _folds() -> tuple[str, str, str, str]:
+    """From the compatibility decompositions of Latin characters and punctuation: those that fold to one character, and what to; those that
+    fold to several, as JSON and as a regex class. All scripts would make literals of 30 KB, which every plan repeats."""
+    src, dst, longer = [], [], {}
+    for cp in [*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0x2000, 0x2070), *range(0xFB00, 0xFB07)]:
         ch = chr(cp)
         flat = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
-        if flat == ch:
-            continue
-        if len(flat) == 1:
+        if flat != ch and len(flat) == 1:
             src.append(ch)
             dst.append(flat)
-        else:
-            longer.append((ch, flat))
-    return "".join(src), "".join(dst), longer
-
-
-_SRC, _DST, _LONGER = _folds()
+        elif flat != ch:
+            longer[ch] = flat
+    return "".join(src), "".join(dst), json.dumps(longer, ensure_ascii=False), f"[{''.join(longer)}]"
 
 
 def strip_diacritics(c: Column) -> Column:
-    """F1. Compatibility decomposition without combining marks, for Latin text; all native.
+    """F1. Compatibility decomposition without combining marks, for Latin text; all native. ASCII passes as it is; characters that fold to
+    several are taken one by one where a text has any.
 
     Characters beyond the Latin blocks stay as they are; `strip_diacritics_any` decomposes those too.
     """
-    plain = F.translate(c, _SRC, _DST)
-    plain = reduce(lambda x, kv: F.replace(x, F.lit(kv[0]), F.lit(kv[1])), [kv for kv in _LONGER if kv[0] in "ĳŀǆǉǌﬀﬁﬂﬃﬄﬅﬆ½¼¾…"], plain)
-    return F.when(c.rlike(r"[^\x00-\x7F]"), F.regexp_replace(plain, r"\p{M}+", "")).otherwise(c)
+    src, dst, longer, several = _folds()
+    table = F.from_json(F.lit(longer), "map<string,string>")
+    whole = lambda p: F.when(p.rlike(several), F.array_join(F.transform(F.split(p, ""), lambda ch: F.coalesce(F.element_at(table, ch), ch)), "")).otherwise(p)
+    return let(c, lambda x: F.when(x.rlike(r"[^\x00-\x7F]"), F.regexp_replace(let(F.translate(x, src, dst), whole), r"\p{M}+", "")).otherwise(x))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that stands in the plan, and is computed, once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _nfkd(s: pd.Series) -> pd.Series:
@@ -102,10 +107,10 @@ def label_score(form: Column, freq: Column) -> Column:
 
 
 def name_similarity(key: Column, names: Column) -> Column:
-    """F9. 3 equal, 2 one holds the other, 1 same last word, null none. Empty names match nothing."""
+    """F9. 3 equal, 2 one holds the other, 1 same last word, null none. A name without a letter or digit has an empty key, which every other
+    key holds."""
     last = lambda x: F.element_at(F.split(x, " "), -1)
-    real = F.filter(names, lambda n: n != "")
-    return F.when(key == "", None).when(F.array_contains(real, key), 3).when(F.exists(real, lambda n: n.contains(key) | F.contains(key, n)), 2).when(F.exists(real, lambda n: last(n) == last(key)), 1)
+    return F.when(F.array_contains(names, key), 3).when(F.exists(names, lambda n: n.contains(key) | F.contains(key, n)), 2).when(F.exists(names, lambda n: last(n) == last(key)), 1)
 
 
 def xml_escape(c: Column) -> Column:

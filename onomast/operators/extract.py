@@ -7,11 +7,12 @@ before they move, and by (type, label_norm), which carries entities and forms on
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import entity_prefix, label_score, norm_label
 from ..profiles import type_of_prefix
+from ..settle import settle
 
 VARIANTS = 40
 
@@ -39,8 +40,8 @@ def entities(events: DataFrame) -> DataFrame:
 
 def best_labels(forms: DataFrame) -> DataFrame:
     """A5. The display label of each entity: best score, then first seen."""
-    rank = F.struct(label_score(F.col("form"), F.col("cnt")).alias("s"), (-F.col("first_seen")).alias("o"))
-    return forms.groupBy("ner_id").agg(F.max_by("form", rank).alias("label"))
+    rank = F.struct(label_score(F.col("form"), F.col("cnt")).alias("s"), (-F.col("first_seen")).alias("o"), "form")
+    return forms.groupBy("ner_id").agg(F.max(rank).alias("x")).select("ner_id", F.col("x.form").alias("label"))
 
 
 def labelled(ents: DataFrame, forms: DataFrame) -> DataFrame:
@@ -50,11 +51,12 @@ def labelled(ents: DataFrame, forms: DataFrame) -> DataFrame:
 
 
 def clusters(ents: DataFrame, forms: DataFrame) -> DataFrame:
-    """J2, A6-A10. One row for each (type, label_norm)."""
+    """J2, A6-A10. One row for each (type, label_norm). Labelled entities are settled, as several branches read them; forms are cut to
+    those that a cluster keeps before they are gathered."""
     key = ["type", "label_norm"]
-    known = labelled(ents, forms)
+    known = settle(labelled(ents, forms))
     votes = known.groupBy(*key, "label").agg(F.sum(F.greatest(F.lit(1), "mentions")).alias("w"), F.min("first_seen").alias("o"))
-    display = votes.groupBy(*key).agg(F.max_by("label", F.struct("w", (-F.col("o")).alias("o"))).alias("label"))
+    display = votes.groupBy(*key).agg(F.max(F.struct("w", (-F.col("o")).alias("o"), "label")).alias("x")).select(*key, "x.label")
     ids = known.groupBy(*key).agg(
         F.sum("mentions").alias("mentions"),
         F.array_sort(F.collect_list("ner_id")).alias("ner_ids"),
@@ -63,16 +65,26 @@ def clusters(ents: DataFrame, forms: DataFrame) -> DataFrame:
     # forms, in the order in which a cluster first meets them: its entities' order, then their own
     own = known.select(*key, "ner_id", F.col("first_seen").alias("e_seen")).join(forms.select("ner_id", "form", "cnt", "first_seen"), "ner_id")
     merged = own.groupBy(*key, "form").agg(F.sum("cnt").alias("cnt"), F.min(F.struct("e_seen", "first_seen")).alias("o"))
-    ranked = merged.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct((-F.col("cnt")).alias("c"), "o", "form"))).alias("forms"))
-    out = ids.join(display, key).join(ranked, key)
+    of = Window.partitionBy(*key)
+    ranked = merged.select(*key, "form", F.row_number().over(of.orderBy(F.desc("cnt"), "o")).alias("nth"), F.count("*").over(of).alias("n_variants"))
+    # the label may be among the first forms: one more than are kept
+    kept = ranked.where(F.col("nth") <= VARIANTS + 1).groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("nth", "form"))).alias("forms"), F.first("n_variants").cast("int").alias("n_variants"))
+    out = ids.join(display, key).join(kept, key)
     names = F.transform("forms", lambda x: x["form"])
     return out.select(
         "type", "label", "label_norm",
         F.slice(F.filter(names, lambda x: x != F.col("label")), 1, VARIANTS).alias("variants"),
-        F.size("forms").alias("n_variants"), "ner_ids", F.size("ner_ids").alias("n_ner_ids"), "source_docs", "mentions",
+        "n_variants", "ner_ids", F.size("ner_ids").alias("n_ner_ids"), "source_docs", "mentions",
     )
 
 
+def totals(corpus: DataFrame, ents: DataFrame, found: DataFrame) -> DataFrame:
+    """A13, K11, A22. files, entities, clusters, ids, types: one row."""
+    files = corpus.agg(F.count_distinct("path").alias("files"))
+    own = found.agg(F.count("*").alias("clusters"), F.sum("n_ner_ids").cast("long").alias("ids"), F.count_distinct("type").alias("types"))
+    return files.crossJoin(ents.agg(F.count("*").alias("entities"))).crossJoin(own)  # one row each
+
+
 def ordered(found: DataFrame) -> DataFrame:
     """O1."""
     return found.orderBy("type", F.desc("mentions"), F.lower("label"))

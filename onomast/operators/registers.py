@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,31 +9,44 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import date_attribute, format_time, pad_year
 from ..functions.text import folded, related_variant, xml_escape
-from ..profiles import PROFILES, by_type
+from ..profiles import PROFILES, TypeProfile, by_type
+from ..settle import settle
+from ..sources import files
 
 KEY = ["type", "label_norm"]
 
 
+def _ordered(found: DataFrame) -> DataFrame:
+    """`nth`, from 1, by type: frequent first, then by label. A range sort, whatever the number of types: rows are numbered in their partitions,
+    and a table of counts by partition and type gives each partition's offset."""
+    at = F.monotonically_increasing_id()
+    rows = settle(found.orderBy("type", F.desc("mentions"), F.lower("label"), "label_norm").withColumn("__at", at).withColumn("__part", F.shiftright("__at", 33)))
+    parts = rows.groupBy("type", "__part").agg(F.count("*").alias("n"), F.min("__at").alias("first"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("type").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = parts.select("type", "__part", (before - F.col("first") + 1).alias("__shift"))
+    return rows.join(F.broadcast(parts), ["type", "__part"]).withColumn("nth", (F.col("__at") + F.col("__shift")).cast("int")).drop("__at", "__part", "__shift")  # types x partitions
+
+
 def number(found: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
     """W2, F13. seq and register_id, by type: frequent first, then by label.
 
     With `earlier` (type, label_norm, register_id) known clusters keep their id and new ones are numbered after the last.
     """
-    w = Window.partitionBy("type").orderBy(F.desc("mentions"), F.lower("label"))
     prefix = by_type(F.col("type"), lambda p: F.lit(p.id_prefix))
     named = lambda n: F.format_string("%s%06d", prefix, n)
     if earlier is None:
-        return found.withColumn("seq", F.row_number().over(w)).withColumn("register_id", named(F.col("seq")))
+        return _ordered(found).withColumnRenamed("nth", "seq").withColumn("register_id", named(F.col("seq")))
     old = earlier.select(*KEY, F.col("register_id").alias("old_id"))
     last = earlier.groupBy("type").agg(F.max(F.regexp_extract("register_id", r"(\d+)$", 1).cast("int")).alias("last"))
-    got = found.join(old, KEY, "left").join(F.broadcast(last), "type", "left")  # one row for each of nine types
-    fresh = Window.partitionBy("type", F.col("old_id").isNull()).orderBy(F.desc("mentions"), F.lower("label"))
-    seq = F.coalesce(F.regexp_extract("old_id", r"(\d+)$", 1).cast("int"), F.coalesce("last", F.lit(0)) + F.row_number().over(fresh))
-    return got.withColumn("seq", seq).withColumn("register_id", F.coalesce("old_id", named(F.col("seq")))).drop("old_id", "last")
+    got = found.join(old, KEY, "left")
+    known = got.where("old_id is not null").select("*", F.regexp_extract("old_id", r"(\d+)$", 1).cast("int").alias("seq"))
+    fresh = _ordered(got.where("old_id is null")).join(F.broadcast(last), "type", "left")  # one row for each of nine types
+    fresh = fresh.withColumn("seq", F.coalesce("last", F.lit(0)) + F.col("nth")).drop("last", "nth")
+    return known.unionByName(fresh).withColumn("register_id", F.coalesce("old_id", named(F.col("seq")))).drop("old_id")
 
 
 def id_mapping(numbered: DataFrame) -> DataFrame:
-    """O6. ner_uuid, register_id, type."""
+    """ner_uuid, register_id, type; `files.write_mapping` sorts them (O6)."""
     return numbered.select(F.explode("ner_ids").alias("ner_uuid"), "register_id", "type")
 
 
@@ -67,11 +79,14 @@ def with_all_fields(records: DataFrame) -> DataFrame:
     return records.withColumns({c: F.lit(None).cast(k) for c, k in kinds.items() if c not in records.columns})
 
 
+def _pointed() -> Column:
+    """The ids that a record points at."""
+    return F.array_compact(F.concat(*[F.coalesce(c, F.array().cast("array<string>")) for c in LISTS], F.array(*ONES)))
+
+
 def secondary_qids(records: DataFrame) -> DataFrame:
-    """A18, U7. Distinct ids that asserted records point at."""
-    got = with_all_fields(records).where(asserted())
-    every = F.concat(*[F.coalesce(c, F.array().cast("array<string>")) for c in LISTS], F.array(*ONES))
-    return got.select(F.explode(every).alias("qid")).where("qid is not null").distinct()
+    """A18, U7. Distinct ids that asserted records point at, by the fields of their types (see `of_type`)."""
+    return with_all_fields(records).where(asserted()).select(F.explode(_pointed()).alias("qid")).distinct()
 
 
 def missing_labels(wanted: DataFrame, labels: DataFrame) -> DataFrame:
@@ -80,13 +95,21 @@ def missing_labels(wanted: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 # Labels that go before any fetched one.
-GENDER = {"Q6581097": "masculin", "Q6581072": "féminin"}
+GENDER = {"Q6581097": "masculin", "Q6581072": "féminin", "Q1097630": "intersexe", "Q1052281": "femme transgenre", "Q2449503": "homme transgenre"}
 
 
 def resolve_labels(wanted: DataFrame, labels: DataFrame) -> DataFrame:
-    """S12, J7. qid, label: a fixed label, a known one, or the id itself."""
+    """S12, J7. `wanted` with label: a fixed label, a known one, or the id itself."""
     fixed = F.coalesce(*[F.when(F.col("qid") == q, v) for q, v in GENDER.items()])
-    return wanted.join(labels.select("qid", F.col("label").alias("__label")), "qid", "left").select("qid", F.coalesce(fixed, "__label", "qid").alias("label"))
+    got = wanted.join(labels.select("qid", F.col("label").alias("__label")), "qid", "left")
+    return got.select(*wanted.columns, F.coalesce(fixed, "__label", "qid").alias("label"))
+
+
+def with_labels(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """J7. Joined rows with `label_of`, a map of the labels of the ids that each asserted row points at."""
+    wanted = rows.where(asserted()).select(*KEY, F.explode(F.array_distinct(_pointed())).alias("qid"))
+    maps = resolve_labels(wanted, labels).groupBy(*KEY).agg(F.map_from_entries(F.collect_list(F.struct("qid", "label"))).alias("label_of"))
+    return rows.join(maps, KEY, "left")
 
 
 def joined(numbered: DataFrame, records: DataFrame) -> DataFrame:
@@ -111,7 +134,7 @@ def _element(tag: str, value: Column, attributes: str = "", indent: int = 8) ->
 
 
 def render(rows: DataFrame, label_of: Column | None = None) -> DataFrame:
-    """G1-G10. type, seq, register_id, mentions, xml of each joined row. `label_of` maps ids to labels (a map column)."""
+    """G1-G10. type, seq, register_id, mentions, xml of each joined row. `label_of` maps ids to labels (a map column, see `with_labels`)."""
     sure = asserted()
     shown = lambda c: F.when(sure, F.col(c))
     lab = lambda q: F.coalesce(F.element_at(label_of, q), q) if label_of is not None else q
@@ -125,7 +148,7 @@ def render(rows: DataFrame, label_of: Column | None = None) -> DataFrame:
     def names(tag: str, sort: bool, indent: int = 8) -> Column:
         parts = [_element(tag, F.col("label"), 'type="main"', indent)]
         if sort:
-            parts.append(_element(tag, F.coalesce("wikidata_label", "label"), 'type="sort"', indent))
+            parts.append(_element(tag, F.coalesce(F.when(F.col("wikidata_label") != "", F.col("wikidata_label")), "label"), 'type="sort"', indent))
         return _lines(*parts, _element(tag, standard, 'type="standard"', indent), variants(tag, indent))
 
     def keyed(tag: str, column: str, extra: str = "") -> Column:
@@ -202,35 +225,26 @@ class Header:
     changed: str = "2026-01-01"
 
 
+def _frame(p: TypeProfile, header: Header) -> tuple[str, str]:
+    """What stands before and behind the entries of a register file."""
+    title = xml_text(f"{p.register.capitalize()} of {header.corpus}")
+    before, after = _WRAP[p.type]
+    head = f'<?xml version="1.0" encoding="UTF-8"?>\n<TEI xmlns="http://www.tei-c.org/ns/1.0" xml:id="{p.root}">\n  <teiHeader>\n    <fileDesc>\n      <titleStmt><title>{title}</title></titleStmt>\n'
+    head += f'      <publicationStmt><publisher>{xml_text(header.publisher)}</publisher><availability><licence target="{xml_text(header.licence)}"/></availability></publicationStmt>\n      <sourceDesc><p>Named-entity annotation</p></sourceDesc>\n    </fileDesc>\n'
+    revision = f'    <revisionDesc><change when="{xml_text(header.changed)}"/></revisionDesc>\n  </teiHeader>\n'
+    if p.type in ("material", "technique"):
+        return f"{head}    <encodingDesc><classDecl>\n    {before}\n", f"    {after}\n    </classDecl></encodingDesc>\n{revision}  <text><body><p/></body></text>\n</TEI>\n"
+    return f"{head}{revision}  <standOff>\n    {before}\n", f"    {after}\n  </standOff>\n  <text><body><p/></body></text>\n</TEI>\n"
+
+
 def write_registers(entries: DataFrame, folder: str, header: Header = Header()) -> dict[str, int]:
-    """K6. Nine files, entries in order. Rows stream to the driver one partition at a time; nothing is held at once."""
-    os.makedirs(folder, exist_ok=True)
-    counts = {}
+    """K6. Nine files, entries in order. Entries are settled once; each file's parts are sorted and written by the tasks and then put
+    together as byte streams: no entry passes through the driver's memory."""
+    rows = settle(entries.select("type", "seq", "xml"))
+    counts = {r["type"]: r["count"] for r in rows.groupBy("type").count().collect()}  # nine rows
     for p in PROFILES:
-        title = xml_text(f"{p.register.capitalize()} of {header.corpus}")
-        where = "standOff" if p.type not in ("material", "technique") else "teiHeader"
-        path = os.path.join(folder, f"{p.register}.xml")
-        with open(f"{path}.tmp", "w", encoding="utf-8", newline="\n") as f:
-            f.write(f'<?xml version="1.0" encoding="UTF-8"?>\n<TEI xmlns="http://www.tei-c.org/ns/1.0" xml:id="{p.root}">\n  <teiHeader>\n    <fileDesc>\n      <titleStmt><title>{title}</title></titleStmt>\n')
-            f.write(f'      <publicationStmt><publisher>{xml_text(header.publisher)}</publisher><availability><licence target="{xml_text(header.licence)}"/></availability></publicationStmt>\n      <sourceDesc><p>Named-entity annotation</p></sourceDesc>\n    </fileDesc>\n')
-            if where == "teiHeader":
-                f.write("    <encodingDesc><classDecl>\n")
-            else:
-                f.write(f'    <revisionDesc><change when="{xml_text(header.changed)}"/></revisionDesc>\n  </teiHeader>\n  <standOff>\n')
-            before, after = _WRAP[p.type]
-            f.write(f"    {before}\n")
-            n = 0
-            for row in entries.where(F.col("type") == p.type).select("xml", "seq").orderBy("seq").toLocalIterator():
-                f.write(row["xml"] + "\n")
-                n += 1
-            f.write(f"    {after}\n")
-            if where == "teiHeader":
-                f.write(f'    </classDecl></encodingDesc>\n    <revisionDesc><change when="{xml_text(header.changed)}"/></revisionDesc>\n  </teiHeader>\n  <text><body><p/></body></text>\n</TEI>\n')
-            else:
-                f.write("  </standOff>\n  <text><body><p/></body></text>\n</TEI>\n")
-        os.replace(f"{path}.tmp", path)
-        counts[p.type] = n
-    return counts
+        files.write_text(rows.where(F.col("type") == p.type).orderBy("seq").select("xml"), f"{folder}/{p.register}.xml", *_frame(p, header))
+    return {p.type: counts.get(p.type, 0) for p in PROFILES}
 
 
 def xml_text(s: str) -> str:
@@ -249,6 +263,6 @@ def coverage(found: DataFrame, records: DataFrame) -> DataFrame:
 
 def match_sample(found: DataFrame, records: DataFrame, n: int = 12) -> DataFrame:
     """W6. The most mentioned high-confidence matches of each type."""
-    w = Window.partitionBy("type").orderBy(F.desc("mentions"), F.lower("label"))
+    w = Window.partitionBy("type").orderBy(F.desc("mentions"), F.lower("label"), "label_norm")
     high = records.where(F.col("match_confidence") == "high").select(*KEY, "wikidata_qid")
     return found.join(high, KEY).withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= n).select("type", "nth", "label", "mentions", "wikidata_qid")

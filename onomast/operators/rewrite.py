@@ -11,10 +11,12 @@ def ref_pattern(attribute: str = "ref") -> str:
 
 
 def load_mapping(rows: DataFrame) -> DataFrame:
-    """S10. ner_uuid, register_id: rows without a key are out; of a key that comes twice the last stays (by `pos`, if there is one)."""
+    """S10. ner_uuid, register_id: rows without a key are out; of a key that comes twice the last stays, by `pos`; rows
+    without `pos` are taken in the order in which they are read."""
+    if "pos" not in rows.columns:
+        rows = rows.withColumn("pos", F.monotonically_increasing_id())
     rows = rows.where("ner_uuid is not null and ner_uuid <> '' and register_id is not null")
-    order = "pos" if "pos" in rows.columns else "register_id"
-    return rows.groupBy("ner_uuid").agg(F.max_by("register_id", order).alias("register_id"))
+    return rows.groupBy("ner_uuid").agg(F.max(F.struct("pos", "register_id")).alias("x")).select("ner_uuid", "x.register_id")
 
 
 def extract_refs(text: Column, attribute: str = "ref") -> Column:

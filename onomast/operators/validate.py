@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..profiles import PROFILES
-from .rewrite import extract_refs, tokens
+from ..settle import settle
+from ..sources import files, tei
+from .rewrite import extract_refs, first_failures, tokens
 
 
 def _problem(df: DataFrame, check: str, subject: str, detail: str) -> DataFrame:
@@ -52,3 +55,31 @@ def validate(elements: DataFrame, mapping: DataFrame, docs: DataFrame | None = N
     ids = elements.where("kind = 'id'").select(F.col("path").alias("file"), F.col("form").alias("id"))
     out = malformed(elements).unionByName(duplicate_ids(ids)).unionByName(unknown_targets(mapping, ids))
     return out if docs is None else out.unionByName(dangling_refs(docs, ids))
+
+
+def check(spark: SparkSession, folder: str, docs_glob: str = "", attribute: str = "ref") -> DataFrame:
+    """V1-V5. All problems of a folder of registers with its mapping, and of documents. A folder, mapping or glob that is not there is one."""
+    gone = lambda name, what: spark.createDataFrame([(name, what, "missing")], "check string, subject string, detail string")
+    if not files.exists(spark, folder):
+        return gone("registers", folder)
+    elements = tei.register_elements(spark, f"{folder}/*.xml")
+    ids = elements.where("kind = 'id'").select(F.col("path").alias("file"), F.col("form").alias("id"))
+    out = malformed(elements).unionByName(duplicate_ids(ids))
+    path = f"{folder}/{files.MAPPING_FILE}"
+    out = out.unionByName(unknown_targets(files.read_mapping(spark, path), ids) if files.exists(spark, path) else gone("mapping", path))
+    if docs_glob:
+        try:
+            lines = spark.read.option("lineSep", "\n").text(docs_glob).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
+            out = out.unionByName(dangling_refs(lines, ids, attribute))
+        except AnalysisException:
+            out = out.unionByName(gone("documents", docs_glob))
+    return out
+
+
+def summary(problems: DataFrame, shown: int = 5) -> tuple[list[str], int]:
+    """V5, W7. Lines that name the first problems of each check and their number; 1 if there is any."""
+    problems = settle(problems)
+    first = first_failures(problems, shown).orderBy("check", "nth").collect()  # at most `shown` for each check
+    lines = [f"FAIL {r['check']} {r['subject']}: {r['detail']}" for r in first]
+    n = problems.count()
+    return [*lines, f"{n} problem(s)"], int(n > 0)

@@ -15,6 +15,7 @@ from ..operators import registers as G
 from ..operators import rewrite as W
 from ..operators import validate as V
 from ..profiles import PROFILES, accept, dimension, fame, geo_bonus, in_time, type_of_prefix
+from ..settle import settle
 from ..sources import kb as K
 from . import inputs as I
 
@@ -36,8 +37,9 @@ def _events(s: SparkSession, d: str) -> DataFrame:
 
 
 def _clusters(s: SparkSession, d: str) -> DataFrame:
-    ev = _events(s, d)
-    return X.clusters(X.entities(ev), X.entity_forms(ev))
+    """Clusters, settled: events, entities and forms are each computed once, whatever reads them."""
+    ev = settle(_events(s, d))
+    return settle(X.clusters(settle(X.entities(ev)), settle(X.entity_forms(ev))))
 
 
 def _kb(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -50,20 +52,20 @@ def _profile(s: SparkSession, d: str) -> DataFrame:
 
 def _matches(s: SparkSession, d: str, found: DataFrame | None = None) -> DataFrame:
     names, claims, base = _kb(s, d)
-    return R.reconcile(X.work_list(_clusters(s, d) if found is None else found), names, K.profile(names, claims, base))
+    return R.reconcile(X.work_list(_clusters(s, d) if found is None else found), names, settle(K.profile(names, claims, base)))
 
 
 def _records(s: SparkSession, d: str, found: DataFrame | None = None) -> DataFrame:
     names, claims, _ = _kb(s, d)
     wide = R.record_fields(claims).join(R.display_names(names), "qid", "left").withColumnRenamed("qid", "wikidata_qid")
-    return _matches(s, d, found).join(wide, "wikidata_qid", "left")
+    return R.of_type(_matches(s, d, found).join(wide, "wikidata_qid", "left"))
 
 
 def _words(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "documents").select(F.explode(F.split("text", " ")).alias("word")).where("word <> ''").distinct()
 
 
-def _bar(c: str):
+def _bar(c):
     return F.array_join(c, "|")
 
 
@@ -132,7 +134,7 @@ def q11_stage_plan(s, d):
 
 def _candidates(s: SparkSession, d: str) -> DataFrame:
     names, _, base = _kb(s, d)
-    return R.candidates(R.stage_plan(X.work_list(_clusters(s, d))), R.search(names, base))
+    return R.candidates(settle(R.stage_plan(X.work_list(_clusters(s, d)))), settle(R.search(names, base)))
 
 
 @query
@@ -155,8 +157,8 @@ def q14_anachronism(s, d):
 
 @query
 def q15_similarity(s, d):
-    got = _candidates(s, d).join(_profile(s, d), "qid")
-    return got.select("type", "label_norm", "qid", T.name_similarity(T.match_key(F.col("label")), F.col("keys")).cast("long").alias("sim"))
+    got = _candidates(s, d).join(_profile(s, d), "qid").withColumn("key", T.match_key(F.col("label")))
+    return got.select("type", "label_norm", "qid", T.name_similarity(F.col("key"), F.col("keys")).cast("long").alias("sim"))
 
 
 @query
@@ -224,8 +226,9 @@ def q26_fmt_time(s, d):
 
 @query
 def q27_register_xml(s, d):
-    found = G.number(_clusters(s, d))
-    return G.render(G.joined(found, _records(s, d))).where(F.col("type").isin("material", "event", "date")).select("register_id", "xml")
+    found = _clusters(s, d)
+    rows = settle(G.joined(G.number(found), _records(s, d, found)))
+    return G.render(G.with_labels(rows, I.read(s, d, I.LABELS)), F.col("label_of")).select("register_id", "xml")
 
 
 @query
@@ -235,13 +238,15 @@ def q28_secondary_labels(s, d):
 
 @query
 def q29_coverage(s, d):
-    got = G.coverage(_clusters(s, d), _matches(s, d))
+    found = _clusters(s, d)
+    got = G.coverage(found, _matches(s, d, found))
     return got.select("type", "entries", "matched", F.col("percent").cast("long"))
 
 
 @query
 def q30_match_sample(s, d):
-    return G.match_sample(_clusters(s, d), _matches(s, d)).withColumn("nth", F.col("nth").cast("long"))
+    found = _clusters(s, d)
+    return G.match_sample(found, _matches(s, d, found)).withColumn("nth", F.col("nth").cast("long"))
 
 
 def _page_lines(s: SparkSession, d: str) -> DataFrame:
@@ -316,7 +321,8 @@ def q40_display_names(s, d):
 
 @query
 def q41_cluster_left_reconciled(s, d):
-    got = G.joined(G.number(_clusters(s, d)), _records(s, d))
+    found = _clusters(s, d)
+    got = G.joined(G.number(found), _records(s, d, found))
     return got.select("type", "label_norm", "register_id", F.when(G.asserted(), F.col("wikidata_qid")).alias("asserted_qid"), F.when(G.asserted(), F.col("wikidata_label")).alias("asserted_label"), "match_confidence")
 
 
@@ -348,3 +354,33 @@ def q45_first_failures(s, d):
 def q46_ordered_clusters(s, d):
     got = X.ordered(_clusters(s, d))
     return got.select("type", "label", "mentions", F.array_join(F.slice("variants", 1, 5), "|").alias("top_variants"), F.array_join(F.slice("source_docs", 1, 5), "|").alias("first_docs"))
+
+
+@query
+def q47_cache_statistics(s, d):
+    return R.cache_statistics(R.slim_cache(I.read(s, d, I.CACHE))).select("kind", "kept", F.col("bytes").cast("long"))
+
+
+@query
+def q48_totals(s, d):
+    ev = settle(_events(s, d))
+    ents = settle(X.entities(ev))
+    return X.totals(I.read(s, d, I.EVENTS).withColumnRenamed("doc", "path"), ents, X.clusters(ents, settle(X.entity_forms(ev))))
+
+
+@query
+def q49_unknown_targets(s, d):
+    found = _clusters(s, d)
+    ids = G.number(found).where("seq % 10 <> 0").select(F.col("type").alias("file"), F.col("register_id").alias("id"))
+    return V.unknown_targets(G.id_mapping(G.number(found)), ids)
+
+
+@query
+def q50_typed_records(s, d):
+    got = G.with_all_fields(_records(s, d))
+    return got.select("type", "label_norm", "wikidata_qid", *[_bar(F.coalesce(c, F.array().cast("array<string>"))).alias(c) for c in ("author_qids", "class_qids", "place_type_qids", "org_type_qids")], "gender_qid", "country_qid", "birth", "inception", "pub_date", "when", "lat", "lon", "aat", "viaf")
+
+
+@query
+def q51_match_names(s, d):
+    return _profile(s, d).select("qid", _bar("keys").alias("keys"), "has_auth", "has_aat")

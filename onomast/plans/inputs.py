@@ -15,7 +15,7 @@ def _seq(doc: str, k: str, pas: int = 1) -> str:
 
 
 def _doc(key: str) -> str:
-    return f"'LIV' || lpad(CAST({key} % 50 AS STRING), 2, '0')"
+    return f"'DOC' || lpad(CAST({key} % 50 AS STRING), 2, '0')"
 
 
 EVENTS = f"""
@@ -28,6 +28,8 @@ UNION ALL SELECT {_doc('o_orderkey')}, 'mention', 'pers-' || CAST(o_custkey AS S
 UNION ALL SELECT {_doc('l_orderkey')}, 'mention', 'org-' || CAST(l_suppkey AS STRING), s_name, {_seq('l_orderkey', 'l_orderkey * 10 + l_linenumber')} FROM {{lineitem}} JOIN {{supplier}} ON l_suppkey = s_suppkey
 UNION ALL SELECT {_doc('c_custkey')}, 'mention', 'place-' || CAST(c_nationkey AS STRING), n_name, {_seq('c_custkey', 'c_custkey')} FROM {{customer}} JOIN {{nation}} ON c_nationkey = n_nationkey
 UNION ALL SELECT {_doc('p_partkey')}, 'mention', 'mat-' || CAST(p_partkey AS STRING), p_type, {_seq('p_partkey', 'p_partkey')} FROM {{part}}
+UNION ALL SELECT {_doc('p_partkey')}, 'mention', 'artwork-' || CAST(p_partkey AS STRING), p_type, {_seq('p_partkey', 'p_partkey')} FROM {{part}} WHERE p_partkey % 3 = 0
+UNION ALL SELECT {_doc('p_partkey')}, 'mention', 'tech-' || CAST(p_partkey AS STRING), p_brand, {_seq('p_partkey', 'p_partkey')} FROM {{part}} WHERE p_partkey % 5 = 0
 UNION ALL SELECT {_doc('event_id')}, 'mention', 'event-' || CAST(user_id AS STRING), event_type, {_seq('event_id', 'event_id')} FROM {{events}}
 UNION ALL SELECT {_doc('o_orderkey')}, 'mention', 'date-' || CAST(o_custkey AS STRING),
   'le ' || CAST(day(o_orderdate) AS STRING) || ' ' || CASE month(o_orderdate) WHEN 1 THEN 'janvier' WHEN 2 THEN 'février' WHEN 3 THEN 'mars' WHEN 4 THEN 'avril' WHEN 5 THEN 'mai' WHEN 6 THEN 'juin' WHEN 7 THEN 'juillet' WHEN 8 THEN 'août' WHEN 9 THEN 'septembre' WHEN 10 THEN 'octobre' WHEN 11 THEN 'novembre' ELSE 'décembre' END || ' ' || CAST(year(o_orderdate) - 400 AS STRING),

@@ -56,6 +56,7 @@ class TypeProfile:
     last_year: int | None = None
 
 
+# Layout, caps and last years of the types.
 PROFILES = (
     TypeProfile("person", "pers", "persons", "pb-persons", "person-", 12, _person, 1660),
     TypeProfile("place", "place", "places", "pb-places", "place-", 12, _any(*PLACE_PIDS)),
@@ -109,7 +110,7 @@ def geo_bonus(type_: Column, country: Column) -> Column:
     return F.when((type_ != "place") | country.isNull(), 0).when(country.isin(PLAUSIBLE_COUNTRIES), 1).otherwise(-3)
 
 
-def confidence(type_: Column, sim: Column, sitelinks: Column, has_auth: Column, pids: Column) -> Column:
+def confidence(type_: Column, sim: Column, sitelinks: Column, has_auth: Column, has_aat: Column) -> Column:
     """F39."""
     level = F.when((sim == 3) & ((sitelinks >= 6) | has_auth), "high").when((sim >= 2) & ((sitelinks >= 3) | has_auth), "medium").otherwise("low")
-    return F.when(type_.isin("material", "technique", "artwork") & ~F.array_contains(pids, "P1014"), "low").otherwise(level)
+    return F.when(type_.isin("material", "technique", "artwork") & ~has_aat, "low").otherwise(level)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import time_year
@@ -18,8 +19,14 @@ _RAW = (
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Raw entities, one JSON object in a line, with `qid`. Values of claims stay JSON text, whatever their kind."""
-    return spark.read.schema(_RAW).json(path)
+    """S11. Raw entities, one JSON object in a line, with `qid`. Values of claims stay JSON text, whatever their kind. A path that is not
+    there gives none, and so does a file with a line that does not parse: what is cached can be fetched again."""
+    try:
+        rows = spark.read.schema(f"{_RAW}, _bad string").option("columnNameOfCorruptRecord", "_bad").json(path).withColumn("__file", F.col("_metadata.file_path"))
+    except AnalysisException:
+        return spark.createDataFrame([], _RAW)
+    bad = rows.select("__file", F.col("_bad").isNotNull().alias("b")).groupBy("__file").agg(F.max("b").alias("b")).where("b").select("__file")
+    return rows.join(bad, "__file", "left_anti").drop("_bad", "__file")
 
 
 def flatten(raw: DataFrame) -> dict[str, DataFrame]:
@@ -36,23 +43,42 @@ def flatten(raw: DataFrame) -> dict[str, DataFrame]:
     return {"kb_name": names, "kb_claim": claims, "kb_base": base}
 
 
+def label_rank(lang: Column) -> Column:
+    """F11. The order in which a label's language is taken: fr, la, en, it, any."""
+    return F.coalesce(*[F.when(lang == x, i) for i, x in enumerate(_LANGS)], F.lit(9))
+
+
+def claim_sets(claims: DataFrame) -> tuple[Column, ...]:
+    """A15, U4, F36. pids, p31 of each entity: property and class sets; a property counts as present without a value."""
+    return F.array_sort(F.collect_set("pid")).alias("pids"), F.array_sort(F.collect_set(F.when(F.col("pid") == "P31", F.col("v_id")))).alias("p31")
+
+
 def profile(names: DataFrame, claims: DataFrame, base: DataFrame) -> DataFrame:
-    """A15, P19, F22, F23. What scoring needs of each entity, in one row."""
+    """A15, P19, F9, F22, F23. What scoring needs of each entity, in one row. `keys` are those of its label, one by the order of languages,
+    and of its aliases."""
     first_time = lambda pid: F.min_by(F.when(F.col("pid") == pid, F.col("v_time")), F.when((F.col("pid") == pid) & F.col("v_time").isNotNull(), F.col("ord")))
-    has_value = F.coalesce("v_str", "v_id", "v_time").isNotNull()
+    has = lambda *pids: F.coalesce(F.bool_or(F.col("pid").isin(*pids) & (any_value() != "")), F.lit(False))
     sets = claims.groupBy("qid").agg(
-        F.array_sort(F.collect_set("pid")).alias("pids"),
-        F.array_sort(F.collect_set(F.when(F.col("pid") == "P31", F.col("v_id")))).alias("p31"),
-        F.bool_or(F.col("pid").isin(*AUTHORITY_PIDS) & has_value).alias("has_auth"),
+        *claim_sets(claims), has(*AUTHORITY_PIDS).alias("has_auth"), has("P1014").alias("has_aat"),
         *[first_time(p).alias(p) for p in ("P569", "P570", "P585", "P580", "P582")],
         F.min_by(F.when(F.col("pid") == "P17", F.col("v_id")), F.when((F.col("pid") == "P17") & F.col("v_id").isNotNull(), F.col("ord"))).alias("country"),
+    )
+    is_label, is_alias = F.col("kind") == "label", F.col("kind") == "alias"
+    named = names.where((is_label | is_alias) & (F.col("value") != "")).groupBy("qid").agg(
+        F.min_by(F.when(is_label, F.col("value")), F.when(is_label, F.struct(label_rank(F.col("lang")), "ord", "lang"))).alias("label"), F.collect_set(F.when(is_alias, F.col("value"))).alias("aliases")
     )
-    keys = names.where(F.col("kind").isin("label", "alias")).groupBy("qid").agg(F.array_sort(F.collect_set(match_key(F.col("value")))).alias("keys"))
+    keys = F.transform(F.array_compact(F.concat(F.array("label"), "aliases")), lambda v: match_key(v))
+    named = named.select("qid", F.array_sort(F.array_distinct(keys)).alias("keys"))
     none = F.array().cast("array<string>")
-    got = base.join(sets, "qid", "left").join(keys, "qid", "left")
+    got = base.join(sets, "qid", "left").join(named, "qid", "left")
     return got.select(
-        "qid", "sitelinks", F.coalesce("p31", none).alias("p31"), F.coalesce("pids", none).alias("pids"), F.coalesce("has_auth", F.lit(False)).alias("has_auth"),
+        "qid", "sitelinks", F.coalesce("p31", none).alias("p31"), F.coalesce("pids", none).alias("pids"), F.coalesce("has_auth", F.lit(False)).alias("has_auth"), F.coalesce("has_aat", F.lit(False)).alias("has_aat"),
         F.coalesce(time_year(F.col("P569")), time_year(F.col("P570"))).alias("birth_year"),
         F.coalesce(time_year(F.col("P585")), time_year(F.col("P580")), time_year(F.col("P582"))).alias("event_year"),
         "country", F.coalesce("keys", none).alias("keys"),
     )
+
+
+def any_value() -> Column:
+    """F34. A claim's value, whatever its kind, as text."""
+    return F.coalesce("v_str", "v_id", "v_time", F.concat_ws(" ", F.col("v_lat").cast("string"), F.col("v_lon").cast("string")))

@@ -10,13 +10,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..settle import settle
+
 # Elements that define entities, that name them, and that mention them.
 DEFINITIONS = frozenset("person place org event bibl object".split())
 NAMES = frozenset("persName placeName orgName label title objectName name".split())
 MENTIONS = frozenset("persName placeName orgName rs date name term object bibl material title objectName".split())
 XML_ID = "{http://www.w3.org/XML/1998/namespace}id"
 SUFFIX = "_reconciled.tei.xml"
-EVENT = "doc string, path string, file_idx int, pass int, elem_idx int, kind string, tag string, ner_id string, form string"
+EVENT = "doc string, path string, pass int, elem_idx int, kind string, tag string, ner_id string, form string"
 
 
 def local(tag: object) -> str:
@@ -49,32 +51,33 @@ def read_corpus(spark: SparkSession, glob: str) -> DataFrame:
     """S1-S7. Events of all files of a glob, with `seq`, the order in which they are met. A file that does not parse gives one
     row of kind 'error'. Raises if the glob matches nothing.
 
-    Files are numbered by path in one small aggregation over paths; contents are parsed where they are read.
+    Files are numbered by a sort of their paths, which stay with the tasks; contents are parsed where they are read.
     """
     try:
-        files = spark.read.format("binaryFile").load(glob)
+        found = spark.read.format("binaryFile").load(glob)
     except AnalysisException as e:
         raise FileNotFoundError(f"no file matches {glob}") from e
-    paths = files.select("path").distinct().orderBy("path")
-    order = [r["path"] for r in paths.toLocalIterator()]
-    if not order:
+    # documents in the order of their paths: a range sort of paths alone, numbered by partition
+    at = F.monotonically_increasing_id()
+    order = settle(found.select("path").distinct().orderBy("path").select("path", at.alias("file_idx")))
+    if order.isEmpty():
         raise FileNotFoundError(f"no file matches {glob}")
-    index = {p: i for i, p in enumerate(order)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc", "path", "file_idx", "pass", "elem_idx", "kind", "tag", "ner_id", "form"]
+        names = ["doc", "path", "pass", "elem_idx", "kind", "tag", "ner_id", "form"]
         for batch in batches:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 doc = path.rpartition("/")[2].removesuffix(SUFFIX)
-                rows = [(doc, path, index[path], *e) for e in element_events(content)]
+                rows = [(doc, path, *e) for e in element_events(content)]
                 if rows:
                     cols = list(zip(*rows, strict=True))
-                    kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), *[pa.string()] * 4]
+                    kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), *[pa.string()] * 4]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
 
-    got = files.select("path", "content").mapInArrow(run, EVENT)
-    seq = (F.col("file_idx").cast("long") * 2 + F.col("pass")) * F.lit(1 << 32) + F.col("elem_idx")
-    return got.withColumn("seq", seq)
+    got = found.select("path", "content").mapInArrow(run, EVENT).join(order, "path")
+    # the number of a partition of paths stands above 33 bits: 17 bits for it, 20 for a path's place in it, 1 for the pass, 25 for the element
+    place = F.shiftright("file_idx", 33) * F.lit(1 << 20) + F.col("file_idx").bitwiseAND(F.lit((1 << 20) - 1))
+    return got.withColumn("seq", place * F.lit(1 << 26) + F.col("pass") * F.lit(1 << 25) + F.col("elem_idx"))
 
 
 def events_of(corpus: DataFrame) -> DataFrame:
