@@ -23,7 +23,7 @@ def _folds() -> tuple[str, str, str, str]:
     """From the compatibility decompositions of Latin characters and punctuation: those that fold to one character, and what to; those that
     fold to several, as JSON and as a regex class. All scripts would make literals of 30 KB, which every plan repeats."""
     src, dst, longer = [], [], {}
-    for cp in [*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0x2000, 0x2070), *range(0xFB00, 0xFB07)]:
+    for cp in [*range(0xA0, 0x300), *range(0x1E00, 0x1F00), *range(0x2000, 0x2070), *range(0xFB00, 0xFB07)]:
         ch = chr(cp)
         flat = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
         if flat != ch and len(flat) == 1:

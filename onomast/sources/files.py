@@ -103,7 +103,7 @@ def read_reconciled(spark: SparkSession, path: str) -> DataFrame:
         rows = spark.read.schema(f"{RECORD}, _bad string").option("columnNameOfCorruptRecord", "_bad").json(path, multiLine=True)
     except AnalysisException:
         return spark.createDataFrame([], RECORD)
-    rows = rows.withColumn("__at", F.monotonically_increasing_id())
+    rows = settle(rows.withColumn("__at", F.monotonically_increasing_id()))
     last = rows.groupBy("type", "label_norm").agg(F.max(F.struct("__at", F.struct(*[c for c in rows.columns if c != "__at"]).alias("r"))).alias("x")).select("x.r.*")
     return last.where(F.col("_bad").isNull() & F.col("type").isNotNull()).drop("_bad")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import time_year
 from ..functions.text import match_key
 from ..profiles import AUTHORITY_PIDS, KEPT_PIDS
+from ..settle import settle
 
 _LANGS = ("fr", "la", "en", "it")
 _TEXT = "map<string,struct<value:string>>"
@@ -23,6 +24,7 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     there gives none, and so does a file with a line that does not parse: what is cached can be fetched again."""
     try:
         rows = spark.read.schema(f"{_RAW}, _bad string").option("columnNameOfCorruptRecord", "_bad").json(path).withColumn("__file", F.col("_metadata.file_path"))
+        rows = settle(rows)  # parsed once
     except AnalysisException:
         return spark.createDataFrame([], _RAW)
     bad = rows.select("__file", F.col("_bad").isNotNull().alias("b")).groupBy("__file").agg(F.max("b").alias("b")).where("b").select("__file")

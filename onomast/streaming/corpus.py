@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import norm_label
-from ..operators.extract import best_labels, clusters, entities, entity_forms, typed
+from ..operators.extract import best_labels, clusters, entities, entity_forms, labelled, typed
 
 EVENT = "doc string, kind string, ner_id string, form string, seq bigint"
 
@@ -30,17 +30,29 @@ def append_events(stream: DataFrame, table: str, checkpoint: str, then: Callable
     return stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def affected(events: DataFrame, batch: DataFrame) -> DataFrame:
-    """The keys (type, label_norm) that a batch may change: those of its entities, by the labels that all events give."""
+def affected(events: DataFrame, batch: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """The keys (type, label_norm) that a batch may change: those of its entities by the labels that all events give, and, with the events from
+    before the batch, those that its entities had then: an entity whose label changes leaves a cluster and joins another."""
     ids = typed(batch).select("ner_id").distinct()
-    mine = events.join(ids, "ner_id", "left_semi")
-    labels = best_labels(entity_forms(mine)).join(entities(mine).select("ner_id", "type"), "ner_id")
-    return labels.select("type", norm_label(F.col("label")).alias("label_norm")).distinct()
 
+    def keys(some: DataFrame) -> DataFrame:
+        mine = some.join(ids, "ner_id", "left_semi")
+        labels = best_labels(entity_forms(mine)).join(entities(mine).select("ner_id", "type"), "ner_id")
+        return labels.select("type", norm_label(F.col("label")).alias("label_norm"))
 
-def refresh(events: DataFrame) -> DataFrame:
-    """Clusters of all stored events."""
-    return clusters(entities(events), entity_forms(events))
+    return (keys(events) if before is None else keys(events).unionByName(keys(before))).distinct()
+
+
+def refresh(events: DataFrame, old: DataFrame | None = None, changed: DataFrame | None = None) -> DataFrame:
+    """Clusters of all stored events. With the old clusters and the changed keys only clusters of these keys are made anew, from the entities that
+    have or had them; the others stay as they are."""
+    if old is None or changed is None:
+        return clusters(entities(events), entity_forms(events))
+    key = ["type", "label_norm"]
+    labels = labelled(entities(events), entity_forms(events)).select("ner_id", *key)
+    mine = events.join(labels.join(changed, key, "left_semi").select("ner_id").distinct(), "ner_id", "left_semi")
+    new = clusters(entities(mine), entity_forms(mine))
+    return new.unionByName(old.join(changed, key, "left_anti"))
 
 
 def event_windows(stream: DataFrame, size: str = "1 day", late: str = "1 day") -> DataFrame:

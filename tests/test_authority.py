@@ -26,8 +26,8 @@ def values(spark, fn, xs):
 
 
 def test_label_functions(spark):
-    got = values(spark, text.norm_label, ["la Joconde", "L'Académie de & France", "Le la les", "lea", "S1 x", "Œuvre", "ﬁn ſans", "un x"])
-    assert got == ["joconde", "academie de et france", "", "lea", "s1 x", "uvre", "fin sans", "x"]
+    got = values(spark, text.norm_label, ["la Fontaine", "L'Académie de & France", "Le la les", "lea", "S1 x", "Œuvre", "ﬁn ſans", "un x"])
+    assert got == ["fontaine", "academie de et france", "", "lea", "s1 x", "uvre", "fin sans", "x"]
     assert values(spark, text.match_key, ["L'Été-2", None]) == ["l ete 2", None]
     assert values(spark, text.clean_query, [" Sainct Paul. ", "le sieur X", "stone"]) == ["Paul", "X", "stone"]
     assert values(spark, text.spelling_variants, ["Venise"]) == [["Venise", "Uenise", "Venjse", "Venisus"]] or values(spark, text.spelling_variants, ["Venise"])[0][0] == "Venise"
@@ -57,7 +57,7 @@ def test_files_to_files(spark, tmp_path):
     none = spark.createDataFrame([], "type string, label_norm string")
     entries = registers.render(registers.joined(numbered, none))
     counts = registers.write_registers(entries, str(tmp_path / "registers"))
-    assert counts["person"] == 2 and len(os.listdir(tmp_path / "registers")) == 9
+    assert counts["person"] == 2 and len([f for f in os.listdir(tmp_path / "registers") if f.endswith(".xml")]) == 9
     mapping = registers.id_mapping(numbered)
     elements = tei.register_elements(spark, f"{tmp_path}/registers/*.xml")
     assert validate.validate(elements, mapping).count() == 0
