@@ -8,7 +8,8 @@ equal least hashes, so runs of starts that share one (segments) can be compared
 2. firsts are dealt out by least hash. Equal segments of different tasks meet: all but the first repeat. A least hash
    with one segment is settled; one with several different segments is contested.
 3. contested segments fetch their bytes and are dealt out again. Their suffixes are sorted to `length` bytes: by
-   words of 8 bytes (lexsort, in place of a multikey quicksort) to a shallow depth, then blind tries for the groups that still agree. All but the first of
+   words of 8 bytes (lexsort, in place of a multikey quicksort) to a shallow depth, then blind tries, all at once, for the groups that still
+   agree. All but the first of
    equal strings repeat.
 4. a least hash with more than `hot` different segments (a passage in many contexts) is split by whole strings instead:
    an aggregation keeps the first start of each string, combined before the shuffle.
@@ -241,6 +242,7 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int, remember: int = 1 << 20
     """The contested segments of texts, with their bytes. Of hot ones, the first start of each string among the texts of a slice, by a
     128-bit hash: later ones cannot be the first of all. A row that came before, as far as the task remembers, is left out."""
     seen: set[tuple[int, int]] = set()
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
     for batch in batches:
         for part in slices(batch, "text"):
             out: dict[str, list] = {k: [] for k in ("m", "h", "doc", "th", "lo", "n", "data")}
@@ -271,11 +273,9 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int, remember: int = 1 << 20
                 c = {k: v[order] for k, v in c.items()}
                 head = np.maximum.accumulate(np.where(~same_rows(c, ("m", "h")), np.arange(len(order)), 0))
                 first = (c["doc"] == c["doc"][head]) & (c["lo"] == c["lo"][head])  # with ties of rows that share an id
-                for k, v in c.items():
-                    out[k].extend(v[first].tolist())
-                out["n"].extend([0] * int(first.sum()))
-                out["data"].extend([None] * int(first.sum()))
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=list(out))
+                many = int(first.sum())
+                yield pa.RecordBatch.from_arrays([*(pa.array(v[first], t) for v, t in zip(c.values(), types, strict=False)), pa.array(np.zeros(many, np.int32)), pa.nulls(many, pa.binary())], names=list(out))
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types, strict=True)], names=list(out))
     release()
 
 
@@ -328,8 +328,50 @@ class BlindTrie:
                 todo.extend(node[1][k] for k in sorted(node[1], reverse=True))
 
 
-def deep_shallow(data: bytes, at: np.ndarray, group: np.ndarray, length: int = LENGTH, shallow: int = SHALLOW) -> list[np.ndarray]:
-    """Classes of two or more equal `length`-byte strings among those that start at `at` and share a group.
+def blind_tries(data: bytes, word: np.ndarray, at: np.ndarray, group: np.ndarray, depth: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts whose `length`-byte strings equal another one's, and the class of each, among those of a group, which agree to `depth`.
+
+    The blind tries of all groups are built at once. The first string of a group is a path; each other one is compared with it up to the
+    place where they part, and hangs there under its own byte. What hangs under one byte of one place is a group of the next round.
+    `word` has the 8 bytes from every place; `at` is ordered by group.
+    """
+    arr = np.frombuffer(data, np.uint8)
+    depth = np.full(len(at), depth, np.int64)
+    found, names, made = [], [], 0
+    while len(at):
+        new = np.r_[True, group[1:] != group[:-1]]
+        nth = np.cumsum(new) - 1
+        path = at[np.flatnonzero(new)[nth]]
+        part = np.full(len(at), length, np.int64)  # where each string parts from the path of its group
+        open_ = np.flatnonzero(~new)
+        while len(open_):
+            x = word[at[open_] + depth[open_]] ^ word[path[open_] + depth[open_]]
+            differ = np.flatnonzero(x)
+            x, i = x[differ], open_[differ]
+            same = sum((x < np.uint64(1 << 8 * k)).astype(np.int64) for k in range(1, 8))
+            part[i] = np.minimum(depth[i] + same, length)
+            open_ = np.delete(open_, differ)
+            depth[open_] += 8
+            open_ = open_[depth[open_] < length]
+        equal = part == length
+        several = np.bincount(nth, equal)[nth] > 1
+        found.append(at[equal & several])
+        names.append(nth[equal & several] + made)
+        made += int(nth[-1]) + 1
+        rest = np.flatnonzero(~equal)
+        at, part = at[rest], part[rest]
+        key = (nth[rest] * length + part) * 256 + arr[at + part]
+        order = np.argsort(key)
+        at, depth, group = at[order], part[order] + 1, key[order]
+        meets = group[1:] == group[:-1]
+        keep = np.r_[meets, False] | np.r_[False, meets] if len(at) else np.zeros(0, bool)
+        at, depth, group = at[keep], depth[keep], group[keep]
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(found), np.concatenate(names)) if found else (none, none)
+
+
+def deep_shallow(data: bytes, at: np.ndarray, group: np.ndarray, length: int = LENGTH, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
+    """Starts whose `length`-byte strings equal those of other starts of the same group, and the class of each.
 
     Lexsort on words of 8 bytes, in place of a multikey quicksort, all groups in one pass, down to `shallow` bytes; then a blind trie for
     each group that is left.
@@ -338,7 +380,9 @@ def deep_shallow(data: bytes, at: np.ndarray, group: np.ndarray, length: int = L
     word = np.zeros(len(data) + 1, np.uint64)
     for j in range(8):
         word = (word << np.uint64(8)) | arr[j : j + len(word)]
+    deep = 0
     for depth in range(0, min(shallow, length - 7), 8):
+        deep = depth + 8
         w = word[at + depth]
         order = np.lexsort((w, group))
         at, group, w = at[order], group[order], w[order]
@@ -346,20 +390,10 @@ def deep_shallow(data: bytes, at: np.ndarray, group: np.ndarray, length: int = L
         group = np.cumsum(new)
         alone = np.bincount(group)[group] == 1 if len(at) else new
         at, group = at[~alone], group[~alone]
-    out = []
-    if not len(at):
-        return out
-    cuts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-    flat = at.tolist()
-    for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(flat)], strict=True):
-        trie = BlindTrie(data, length)
-        for x in flat[lo:hi]:
-            trie.insert(x)
-        out += [np.array(leaf) for leaf in trie.leaves() if len(leaf) > 1]
-    return out
+    return blind_tries(data, word, at, group, deep, length)
 
 
-def _sort(batches: Iterator[pa.RecordBatch], length: int, bound: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def _sort(batches: Iterator[pa.RecordBatch], length: int, bound: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Repeats among contested segments of one partition, in blocks of whole groups of about `bound` bytes."""
     got = [b for b in batches if b.num_rows]
     if not got:
@@ -368,7 +402,7 @@ def _sort(batches: Iterator[pa.RecordBatch], length: int, bound: int = 4 << 20)
     cols = {n: table.column(n).to_numpy() for n in ("m", "doc", "th", "lo", "n")}
     order = np.lexsort((cols["lo"], cols["doc"], cols["m"]))
     cols = {k: v[order] for k, v in cols.items()}
-    data = table.column("data").combine_chunks().take(pa.array(order))
+    data = table.column("data")
     size = cols["n"].astype(np.int64) + length - 1
     block = np.cumsum(size) // bound
     new_m = np.r_[True, cols["m"][1:] != cols["m"][:-1]]
@@ -377,7 +411,7 @@ def _sort(batches: Iterator[pa.RecordBatch], length: int, bound: int = 4 << 20)
     cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
     for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)], strict=True):
         c = {k: v[lo:hi] for k, v in cols.items()}
-        text = b"".join(data.slice(lo, hi - lo).to_pylist())
+        text = b"".join(data.take(pa.array(order[lo:hi])).to_pylist())
         begin = np.r_[0, np.cumsum(size[lo:hi])][:-1]
         n = c["n"].astype(np.int64)
         seg = np.repeat(np.arange(hi - lo), n)
@@ -386,13 +420,15 @@ def _sort(batches: Iterator[pa.RecordBatch], length: int, bound: int = 4 << 20)
         gid = np.cumsum(new_m[lo:hi])[seg]
         owner = np.zeros(len(text), np.int32)
         owner[at] = seg
-        hit = np.zeros(len(text), bool)
-        for leaf in deep_shallow(text, at, gid, length):
-            o = owner[leaf]
-            d, p = c["doc"][o], c["lo"][o] + (leaf - begin[o])
-            top = np.lexsort((p, d))[0]
-            hit[leaf[(d != d[top]) | (p != p[top])]] = True
-        marks = np.flatnonzero(hit)
+        at, name = deep_shallow(text, at, gid, length)
+        if not len(at):
+            continue
+        o = owner[at]
+        d, p = c["doc"][o], c["lo"][o] + (at - begin[o])
+        order_ = np.lexsort((p, d, name))
+        at, name, d, p = at[order_], name[order_], d[order_], p[order_]
+        top = np.maximum.accumulate(np.where(np.r_[True, name[1:] != name[:-1]], np.arange(len(at)), 0))
+        marks = np.sort(at[(d != d[top]) | (p != p[top])])
         if not len(marks):
             continue
         new = np.r_[True, (np.diff(marks) != 1) | (owner[marks[1:]] != owner[marks[:-1]])]
@@ -403,6 +439,8 @@ def _sort(batches: Iterator[pa.RecordBatch], length: int, bound: int = 4 << 20)
             [pa.array(np.full(len(top), REPEAT, np.int32)), pa.array(c["doc"][o]), pa.array(c["th"][o]), pa.array((c["lo"][o] + marks[top] - begin[o]).astype(np.int32)), pa.array(run.astype(np.int32))],
             names=["kind", "doc", "th", "lo", "n"],
         )
+    del table, got, data, cols
+    release()
 
 
 def covered(size: int, starts: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:

@@ -3,7 +3,10 @@
 import hashlib
 import random
 import time
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from onomast.llm import exact_substring
@@ -59,3 +62,36 @@ def test_many_rows_without_an_id_take_time_in_proportion(spark):
         took.append(time.time() - began)
         assert sum(r["count"] for r in got) == 20_000
     assert max(took[1:]) < 4 * took[0] + 5, took
+
+
+def test_tries_of_all_groups_equal_one_trie_each():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        length, shallow, n = int(rng.integers(8, 20)), int(rng.choice([0, 4, 8, 32])), int(rng.integers(20, 400))
+        data = bytes(rng.integers(97, 97 + int(rng.integers(1, 4)), n).astype(np.uint8))
+        at = np.sort(rng.choice(n - length + 1, int(rng.integers(1, n - length + 2)), replace=False))
+        group = np.sort(rng.integers(0, 3, len(at)))
+        found, name = exact_substring.deep_shallow(data, at, group, length, shallow)
+        want = []
+        for g in set(group.tolist()):
+            trie = exact_substring.BlindTrie(data, length)
+            for x in at[group == g].tolist():
+                trie.insert(x)
+            want += [tuple(sorted(x)) for x in trie.leaves() if len(x) > 1]
+        assert sorted(tuple(sorted(found[name == k].tolist())) for k in np.unique(name)) == sorted(want)
+
+
+def test_sorting_holds_a_bounded_part_of_a_partition():
+    rng = np.random.default_rng(4)
+    many, n = 30_000, 61
+    own = rng.integers(97, 123, (many // 2, n + 99)).astype(np.uint8)
+    own = np.concatenate([own, own])
+    own[:, -1] = rng.integers(97, 123, many)
+    cols = [np.tile(np.arange(many // 2), 2), np.arange(many), np.arange(many), np.zeros(many, np.int32), np.full(many, n, np.int32)]
+    part = pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array([x.tobytes() for x in own], pa.binary())], names=["m", "doc", "th", "lo", "n", "data"])
+    tracemalloc.start()
+    got = list(exact_substring._sort(iter([part]), 100))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(b.num_rows for b in got) == many // 2 and all(60 <= x <= 61 for b in got for x in b.column(4).to_pylist())
+    assert peak < 25 * own.size, peak / own.size
