@@ -1,9 +1,11 @@
 """Near-duplicates by the Jaccard similarity of word shingles, each link checked exactly.
 
-Candidates are texts that share a band of MinHash values: a pair of similarity 0.8 shares none of the 30 bands of 4 with
-probability (1 - 0.8**4)**30, about 1e-7. A candidate counts only if the shingle sets themselves are similar enough. Links
-are found in two rounds: every text of a bucket against the bucket's least one, then, in buckets that this leaves in
-more than one component, every text against every other.
+The method's own links come first: vantage-point trees over the SimHashes of the shingle sets find pairs within their radius
+(`simhash.links`), and a pair counts only if the sets themselves are similar enough. The radius cannot reach similarity 0.8
+(see the README), so what it leaves apart is completed: texts that share a band of MinHash values, which a pair of similarity
+0.8 does for none of the 30 bands of 4 with probability (1 - 0.8**4)**30, about 1e-7. That takes two rounds: every text of a bucket
+against the bucket's least one, unless they are linked already, then, in buckets that this leaves in more than one component,
+every text against every other.
 
 A bucket of over `CROWD` texts that are not alike (they share a long passage) is cut again: of each text only the rarest
 shingles count, by their number among all texts of such buckets, as many as a similar text cannot miss altogether. Texts that
@@ -85,7 +87,8 @@ def bucket_links(sets: list[np.ndarray], root: np.ndarray) -> tuple[list[int], l
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    """rid, row, node, bands of every row: a number, the row, a hash of its shingle set, the band keys."""
+    """rid, row, node, fp, bands of every row: a number, the row, a hash of its shingle set, its SimHash, the band keys."""
+    from .simhash import of_hashes
 
     def run(part: pa.RecordBatch) -> dict:
         found = [shingles(t) for t in texts_of(part)]
@@ -93,9 +96,9 @@ def _rows(docs: DataFrame) -> DataFrame:
         keys = [bands(s) for s in found]
         at = np.r_[0, np.cumsum([len(k) for k in keys])].astype(np.int32)
         flat = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
-        return {"node": pa.array(node), "bands": pa.ListArray.from_arrays(pa.array(at), pa.array(flat))}
+        return {"node": pa.array(node), "fp": np.array([of_hashes(x) for x in found], np.uint64).view(np.int64), "bands": pa.ListArray.from_arrays(pa.array(at), pa.array(flat))}
 
-    return settle_table(carried(docs, run, "node long, bands array<long>").withColumn("rid", F.monotonically_increasing_id()))
+    return settle_table(carried(docs, run, "node long, fp long, bands array<long>").withColumn("rid", F.monotonically_increasing_id()))
 
 
 def _sets(rows: DataFrame, rids: DataFrame) -> DataFrame:
@@ -149,27 +152,56 @@ def _rarest(crowd: DataFrame) -> DataFrame:
     return met.join(open_, "key").join(crowd.select("node", "found"), "node").select("key", "n", "node", "root", "found")
 
 
+def _vantage(points: DataFrame) -> DataFrame:
+    """(u, v): nodes whose SimHashes vantage-point trees find within the radius, and nodes of one SimHash with the least of them."""
+    from . import simhash
+
+    at = settle_table(points.groupBy("fp").agg(F.min("node").alias("hub"), F.count("*").alias("n")))
+    same = points.join(at.where("n > 1").select("fp", "hub"), "fp").where("node <> hub").select(F.col("hub").alias("u"), F.col("node").alias("v"))
+    near = simhash.links(at.select("fp"), direct=True).distinct()
+    a, b = (at.select(F.col("fp").alias(k), F.col("hub").alias(f"of_{k}")) for k in "uv")
+    return same.unionByName(near.join(a, "u").join(b, "v").select(F.col("of_u").alias("u"), F.col("of_v").alias("v")))
+
+
+def _alike(rows: DataFrame, points: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Of the pairs (u, v) of nodes those whose shingle sets are similar."""
+    pairs = settle_table(pairs.distinct())
+    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    sets = _sets(rows, points.join(nodes, "node", "left_semi").select("best.rid"))
+    a, b = (sets.select(F.col("node").alias(k), F.col("found").alias(f"of_{k}"), F.col("size").alias(f"n_{k}")) for k in "uv")
+    met = pairs.join(a, "u").join(b, "v")
+    return settle_table(met.where(similar(F.col("n_u"), F.col("n_v"), F.size(F.array_intersect("of_u", "of_v")))).select("u", "v"))
+
+
+def _keyed(points: DataFrame, roots: DataFrame) -> DataFrame:
+    """key, node, root: a row for each band of each node."""
+    named = points.join(roots.withColumnRenamed("root", "to"), "node", "left")
+    return named.select("node", F.coalesce("to", "node").alias("root"), F.explode("bands").alias("key"))
+
+
 def _roots(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """node, best of every shingle set (`best` is the row that stays of its copies), and node, root of the linked ones."""
     best = F.min(F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id").cast("long").alias("doc_id"), "rid")).alias("best")
-    points = settle_table(rows.groupBy("node").agg(best, F.first("bands").alias("bands")))
-    keyed = points.select("node", F.explode("bands").alias("key"))
-    hubs = keyed.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    shared = settle_table(keyed.join(hubs, "key"))
-    sets = _sets(rows, points.join(shared.select("node").distinct(), "node", "left_semi").select("best.rid"))
-    a, b = (sets.select(F.col("node").alias(k), F.col("found").alias(f"of_{k}"), F.col("size").alias(f"n_{k}")) for k in "uv")
-    pairs = shared.where("node <> hub").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct().join(a, "u").join(b, "v")
-    near = settle_table(pairs.where(similar(F.col("n_u"), F.col("n_v"), F.size(F.array_intersect("of_u", "of_v")))).select("u", "v"))
+    points = settle_table(rows.groupBy("node").agg(best, F.first("bands").alias("bands"), F.first("fp").alias("fp")))
+    near = _alike(rows, points, _vantage(points.where(F.size("bands") > 0)))
+    first = components(near)
+    # what the radius leaves apart: texts that share a band with the bucket's least one
+    keyed = settle_table(_keyed(points, first))
+    hubs = keyed.groupBy("key").agg(F.min(F.struct("node", "root")).alias("hub"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+    hubs = hubs.select(F.col("key").alias("of"), F.col("hub.node").alias("u"), F.col("hub.root").alias("to"))
+    pairs = keyed.join(hubs, (F.col("key") == F.col("of")) & (F.col("root") != F.col("to"))).select("u", F.col("node").alias("v"))
+    near = near.unionByName(_alike(rows, points, pairs))
     first = components(near)
-    now = shared.where("n > 2").join(first.withColumnRenamed("root", "to"), "node", "left").select("key", "node", F.coalesce("to", "node").alias("root"))
+    now = _keyed(points, first)
     # buckets of the same members are compared once
-    open_ = now.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("node").alias("x"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("sign")).where("lo < hi")
+    open_ = now.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("node").alias("x"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("sign")).where("lo < hi and n > 2")
     once = settle_table(open_.groupBy("x", "n", "sign").agg(F.min("key").alias("key")).select("key", "n"))
-    of = lambda keys: now.join(keys, "key").join(sets, "node")
-    more = _across(of(once.where(F.col("n") <= CROWD)).select("key", "n", "node", "root", "found"))
-    crowded = once.where(F.col("n") > CROWD)
+    members = settle_table(now.join(once, "key").select("key", "n", "node", "root"))
+    sets = _sets(rows, points.join(members.select("node").distinct(), "node", "left_semi").select("best.rid")).select("node", "found")
+    more = _across(members.where(F.col("n") <= CROWD).join(sets, "node"))
+    crowded = members.where(F.col("n") > CROWD)
     if not crowded.isEmpty():
-        crowd = settle_table(of(crowded).select("node", "root", "found").dropDuplicates(["node"]))
+        crowd = settle_table(crowded.select("node", "root").dropDuplicates(["node"]).join(sets, "node").select("node", "root", "found"))
         more = more.unionByName(_across(_rarest(crowd)))
     more = settle_table(more)
     return points, first if more.isEmpty() else components(near.unionByName(more))

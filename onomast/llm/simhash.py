@@ -42,7 +42,11 @@ def fingerprint(text: str) -> int:
         return h(joined, SEED)
     at = np.zeros(len(words) + 1, np.int64)
     np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1, out=at[1:])
-    hashes = np.array([h(joined[i:j], SEED) for i, j in zip(at[:-SHINGLE].tolist(), (at[SHINGLE:] - 1).tolist(), strict=True)], np.uint64)
+    return of_hashes(np.array([h(joined[i:j], SEED) for i, j in zip(at[:-SHINGLE].tolist(), (at[SHINGLE:] - 1).tolist(), strict=True)], np.uint64))
+
+
+def of_hashes(hashes: np.ndarray) -> int:
+    """The SimHash of shingle hashes; 0 of none."""
     ones = np.zeros(64, np.int64)
     for lo in range(0, len(hashes), 1 << 15):
         ones += np.unpackbits(hashes[lo : lo + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
@@ -158,8 +162,9 @@ def _forest(n: int, links: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         root = new
 
 
-def _shard_links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
-    """Of one partition of shards: a spanning star of each linked group of each shard."""
+def _shard_links(batches: Iterator[pa.RecordBatch], radius: int, direct: bool = False) -> Iterator[pa.RecordBatch]:
+    """Of one partition of shards: a spanning star of each linked group of each shard; if `direct`, of each fingerprint its least link
+    within the radius."""
     got = [b for b in batches if b.num_rows]
     if not got:
         return
@@ -177,14 +182,20 @@ def _shard_links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.
         links.append((i, i + d))
     for s, n in zip(start[length > LEAF].tolist(), length[length > LEAF].tolist(), strict=True):
         links += [(a + s, b + s) for a, b in vp_links(fp[s : s + n], radius, whole=False)]
-    root = _forest(len(fp), links)
+    if direct:
+        root = np.arange(len(fp))
+        for a, b in links:
+            np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+    else:
+        root = _forest(len(fp), links)
     tied = np.flatnonzero(root != np.arange(len(fp)))
     u, v = fp[tied].view(np.int64), fp[root[tied]].view(np.int64)
     yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
 
-def links(fps: DataFrame, blocks: int = 6, radius: int = RADIUS, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(u, v): links between distinct fingerprints that connect every group of them that is linked in some shard.
+def links(fps: DataFrame, blocks: int = 6, radius: int = RADIUS, shard_rows: int = SHARD_ROWS, direct: bool = False) -> DataFrame:
+    """(u, v): links between distinct fingerprints that connect every group of them that is linked in some shard. If `direct`, only pairs
+    within the radius, the least for each fingerprint and shard, which may leave groups in parts.
 
     `fps` holds each fingerprint once. `blocks` sets how finely shards are cut: 6 gives 15 keys of about 21 bits,
     7 gives 35 of about 27, for tables beyond 10**8 fingerprints. A shard beyond `shard_rows` is dealt out once
@@ -199,7 +210,7 @@ def links(fps: DataFrame, blocks: int = 6, radius: int = RADIUS, shard_rows: int
         # the second level cuts all 64 bits into more parts: any linked pair shares a set of these too
         finer = again.select(F.explode(F.array(*[F.xxhash64("key", F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for i, m in enumerate(shard_masks(blocks + 2, radius))])).alias("key"), "fp")
         keyed = keyed.join(hot, "key", "left_anti").unionByName(finer)
-    return keyed.repartition("key").mapInArrow(lambda it: _shard_links(it, radius), "u long, v long")
+    return keyed.repartition("key").mapInArrow(lambda it: _shard_links(it, radius, direct), "u long, v long")
 
 
 def ball_components(docs: DataFrame, blocks: int = 6, radius: int = RADIUS) -> DataFrame:
@@ -219,8 +230,8 @@ def ball_components(docs: DataFrame, blocks: int = 6, radius: int = RADIUS) -> D
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, component_id of every row of `docs` by the task's default, similarity 0.8 of 5-word shingles; the
-    contract's 4 bits are the query's own."""
+    """doc_id, component_id of every row of `docs` by the task's default, similarity 0.8 of 5-word shingles: vantage-point links of SimHash
+    that are checked on the sets, then what lies beyond the radius (see `jaccard`)."""
     return jaccard.near_duplicates(docs)
 
 

@@ -106,3 +106,21 @@ def test_tight_ball_is_joined_by_a_star():
     some = np.unique(np.r_[points[:400], rng.integers(0, 1 << 63, 400, dtype=np.uint64)])
     a, b = (simhash._forest(len(some), simhash.vp_links(some, whole=w)) for w in (True, False))
     assert (a == b).all()
+
+
+def test_stage_links_by_vantage_points_first(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = []
+    for i in range(40):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(600)]
+        rows += [(i, " ".join(words)), (100 + i, " ".join(words[:-1] + ["end"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    points = jaccard._rows(docs).groupBy("node").agg({"fp": "min"}).withColumnRenamed("min(fp)", "fp")
+    fp = {r["node"]: r["fp"] & (1 << 64) - 1 for r in points.collect()}
+    found = {frozenset((r["u"], r["v"])) for r in jaccard._vantage(points).collect()}
+    near = {frozenset(x) for x in itertools.combinations(fp, 2) if (fp[x[0]] ^ fp[x[1]]).bit_count() <= 4}
+    assert len(near) >= 10 and found <= near and set().union(*found) == set().union(*near)
+    calls = []
+    monkeypatch.setattr(simhash, "links", lambda *a, f=simhash.links, **k: calls.append(1) or f(*a, **k))
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(docs).collect()}
+    assert calls and got == {i: i % 100 for i, _ in rows}
