@@ -1,7 +1,7 @@
 """Quality rules with an isolation forest over rule statistics.
 
 A document fails the base rules on its word count or its repeated words. Of the rest, those whose statistics random
-splits isolate after few cuts are dropped; the cut-off in path length is calibrated from labelled rows.
+splits isolate after few cuts are dropped; the cut-off in path length is calibrated from all labelled rows.
 """
 
 from __future__ import annotations
@@ -13,9 +13,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_slice, texts_of
+from .common import per_slice, settle_table, texts_of
 from .quality import one_of_each
-from .textstats import COUNTS, FEATURES, SCHEMA, stats
+from .textstats import COUNTS, stats
 
 #: Shares that the forest splits on, drawn towards 0 as if PRIOR more characters (or words) without a hit were there, so
 #: that short texts are not outliers for their length alone; then by logarithm above FLOOR, so that splits see their spread.
@@ -32,7 +32,7 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 
 @dataclass(frozen=True)
 class Config:
-    """`sample_rows` bounds the labelled rows brought to the driver; `keep_share` is the share of label 1 that the cut-off
+    """`sample_rows` bounds the labelled rows that trees draw from on the driver; `keep_share` is the share of label 1 that the cut-off
     must keep; `rare` is the share of label 0 beside label 1 in the rows that the forest is grown on."""
 
     sample_rows: int = 6000
@@ -149,18 +149,89 @@ def base_failed(n_words, n_repeat_words):
     return (n_words < MIN_WORDS) | (100 * n_repeat_words > MAX_REPEAT_PERCENT * n_words)
 
 
-def train(docs: DataFrame, labels: DataFrame, c: Config = Config()) -> Forest:
-    ids = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").cast("long").alias("quality"))
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(c.sample_rows)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id")  # bounded by sample_rows
+#: Values that the driver sorts; bins that a longer column is cut into, again and again.
+FEW, BINS = 1 << 16, 1 << 10
+
+
+def order_statistics(rows: DataFrame, wanted: dict[str, list[int]]) -> dict[str, list[float]]:
+    """Of each named column the values at these places (from 0) in its order, exact: all rows are counted in bins, the bin of a place is cut
+    into bins again, until it holds FEW rows or one value. The driver gets counts of bins, and FEW values of one bin."""
+    out: dict[str, list[float]] = {}
+    for name, places in wanted.items():
+        x, known = F.col(name), {}
+        for place in places:
+            part, before = rows.select(x), 0
+            while place not in known:
+                n, lo, hi = part.agg(F.count("*"), F.min(x), F.max(x)).first()
+                if lo == hi or n <= FEW:
+                    values = None if lo == hi else np.sort(part.toArrow().column(0).to_numpy())
+                    known |= {p: lo if values is None else float(values[p - before]) for p in places if before <= p < before + n}
+                    break
+                step = (hi - lo) / BINS
+                at = F.least(F.floor((x - lo) / step), F.lit(BINS - 1)) if step > 0 else (x > lo).cast("long")
+                for b, many in sorted((r[0], r[1]) for r in part.groupBy(at.alias("at")).count().collect()):  # BINS rows at most
+                    if place < before + many:
+                        break
+                    before += many
+                part = part.where(at == b)
+        out[name] = [known[p] for p in places]
+    return out
+
+
+def _between(places: list[float]) -> list[int]:
+    return sorted({int(f(p)) for p in places for f in (np.floor, np.ceil)})
+
+
+def quantiles(rows: DataFrame, n: int, wanted: dict[str, list[float]]) -> dict[str, list[float]]:
+    """Exact quantiles of columns of `n` rows, between neighbours in proportion, as np.quantile has them."""
+    places = {k: [q * (n - 1) for q in qs] for k, qs in wanted.items()}
+    found = {k: dict(zip(_between(v), x, strict=True)) for (k, v), x in zip(places.items(), order_statistics(rows, {k: _between(v) for k, v in places.items()}).values(), strict=True)}
+    return {k: [found[k][int(np.floor(p))] + (p - np.floor(p)) * (found[k][int(np.ceil(p))] - found[k][int(np.floor(p))]) for p in v] for k, v in places.items()}
+
+
+MATRIX = [*RULES, *OTHERS]
+
+
+def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """quality, failed, MATRIX of one text of each labelled id, all of them: statistics meet labels, not texts."""
+    ids = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("long").alias("quality"))
 
     def run(part: pa.RecordBatch) -> dict:
-        return stats(texts_of(part)) | {"doc_id": part.column(0), "quality": part.column(2), "h": part.column(3)}
+        st = stats(texts_of(part))
+        x = rule_matrix(st)
+        return dict(zip(MATRIX, x.T, strict=True)) | {"doc_id": part.column(0), "h": part.column(2), "failed": base_failed(st["n_words"], st["n_repeat_words"])}
+
+    schema = f"doc_id long, h long, failed boolean, {', '.join(f'{k} double' for k in MATRIX)}"
+    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h")).where("doc_id is not null")
+    met = per_slice(known, run, schema).join(ids, "doc_id")
+    return settle_table(one_of_each(met, ["failed", *MATRIX]))
 
-    got = per_slice(rows.select("doc_id", "text", "quality", F.xxhash64("text").alias("h")), run, f"doc_id long, quality long, h long, {SCHEMA}")
-    got = one_of_each(got, [*FEATURES, *COUNTS]).toArrow().sort_by("doc_id")
-    st = {n: got.column(n).to_numpy() for n in got.column_names}
-    return fit(rule_matrix(st), st["quality"], base_failed(st["n_words"], st["n_repeat_words"]), c)
+
+def train(docs: DataFrame, labels: DataFrame, c: Config = Config()) -> Forest:
+    """The forest with bounds and cut-off from all labelled rows, exact. Only the rows that its trees draw from, `subsample` each of
+    `sample_rows` by hash, are bounded: drawing few rows for each tree is the method."""
+    rows = _labelled(docs, labels)
+    passed = rows.where("quality = 1 and not failed")
+    good = passed.count()
+    base = passed if good else rows
+    n = good or rows.count()
+    by = [F.xxhash64("doc_id"), "doc_id"]
+    matrix = lambda d: np.stack([d.column(k).to_numpy() for k in MATRIX], 1)
+    grown = matrix(base.orderBy(*by).limit(c.sample_rows).select(*MATRIX).toArrow())
+    if good:
+        bad = rows.where("quality = 0 and not failed").orderBy(*by).limit(int(c.rare * len(grown))).select(*MATRIX)
+        grown = np.concatenate([grown, matrix(bad.toArrow())])
+    bound = None
+    if n:
+        tail = quantiles(base, n, {k: [TAIL, 1 - TAIL] for k in OTHERS})
+        bound = np.array([tail[k] for k in OTHERS]).T
+    forest = grow(grown if bound is None else tails(grown, bound), c)
+    forest.bound = bound
+    if good:
+        names = passed.select(*MATRIX)
+        scores = settle_table(per_slice(names, lambda part: {"score": forest.score(np.stack([x.to_numpy() for x in part.columns], 1))}, "score double", text=""))
+        forest.threshold = quantiles(scores, good, {"score": [c.keep_share]})["score"][0] + 1e-9
+    return forest
 
 
 def judge(docs: DataFrame, forest: Forest) -> DataFrame:

@@ -36,3 +36,19 @@ def test_stutter_and_digits_are_isolated_without_being_seen():
     assert not failed[600:].any()
     forest = isolation.fit(x[:600], y[:600], failed[:600])
     assert (forest.score(x[600:]) > forest.threshold).all()
+
+
+def test_bounds_and_cut_off_come_from_all_labelled_rows(spark, monkeypatch):
+    monkeypatch.setattr(isolation, "FEW", 16)
+    monkeypatch.setattr(isolation, "BINS", 8)
+    rng = np.random.default_rng(9)
+    rows = [(i, " ".join(rng.choice(["river", "stone", "amber!", "Quiet", "m4ple", "a|b"], rng.integers(12, 80)))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i % 10 > 0)) for i, _ in rows], "doc_id long, quality int")
+    c = isolation.Config(sample_rows=50, trees=20)
+    forest = isolation.train(docs, labels, c)
+    st = textstats.stats([t for _, t in rows])
+    x, good = isolation.rule_matrix(st), (np.arange(300) % 10 > 0) & ~isolation.base_failed(st["n_words"], st["n_repeat_words"])
+    assert good.sum() > 100
+    np.testing.assert_allclose(forest.bound, isolation.bounds(x[good]), rtol=1e-9, atol=1e-12)
+    assert abs(forest.threshold - isolation.calibrate(forest.score(x), good, c.keep_share)) < 1e-9
