@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -81,6 +82,18 @@ def release() -> None:
         pass
 
 
+#: By operator's module: drops what its tasks leave in a worker for the next one, and says whether there was anything.
+LEFT: dict[str, Callable[[], bool]] = {}
+
+
+def make_room(module: str) -> None:
+    """Drops what tasks of other operators than `module` left in this worker: workers live on through all stages, and what one stage left would
+    count in each that follows. Only what is made again on demand is left, so no result depends on it."""
+    if any([drop() for name, drop in LEFT.items() if name != module]):
+        gc.collect()
+        release()
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts a batch into slices whose texts hold about `limit` bytes; one row may exceed it alone."""
     if batch.num_rows == 0:
@@ -99,6 +112,7 @@ def per_slice(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, object]],
     made = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room(fn.__module__)
         for batch in batches:
             for part in slices(batch, text, limit) if text else [batch]:
                 got = fn(part)
@@ -129,6 +143,7 @@ def carried(docs: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, object]],
     made = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room(fn.__module__)
         for batch in batches:
             row = batch.column(0)
             view = pa.RecordBatch.from_arrays([row.field("doc_id"), row.field("text"), row], names=["doc_id", "text", "row"])

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_slice, texts_of
+from .common import LEFT, per_slice, texts_of
 
 SPACE = "▁"
 SLICE = 1 << 19
@@ -289,6 +289,16 @@ def store(path: str, alpha: float) -> Store:
     return Store(vocabulary(path, alpha))
 
 
+def _forget() -> bool:
+    """Drops the store; the vocabulary, which is small and slow to make, stays."""
+    held = store.cache_info().currsize > 0
+    store.cache_clear()
+    return held
+
+
+LEFT[__name__] = _forget
+
+
 def _uniform(*parts: np.ndarray) -> np.ndarray:
     """Numbers in (0, 1) from a hash of integer parts."""
     h = np.uint64(0x2545F4914F6CDD1D)

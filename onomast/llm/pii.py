@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import pii_table
-from .common import carried, per_slice, texts_of
+from .common import LEFT, carried, per_slice, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 #: Kinds that the field adds.
@@ -454,6 +454,15 @@ def _seen(f: Field) -> Seen:
     return _SEEN[key]
 
 
+def _forget() -> bool:
+    held = bool(_SEEN)
+    _SEEN.clear()
+    return held
+
+
+LEFT[__name__] = _forget
+
+
 def redact(text: str, found: list[Span]) -> str:
     """The text with each span replaced by its kind; overlapping spans become one, named by the first."""
     out, at = [], 0
