@@ -10,16 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import entity_prefix, label_score, norm_label
-from ..profiles import type_of_prefix
+from ..functions.text import label_score, norm_label
+from ..profiles import type_of_id
 from ..settle import settle
 
-VARIANTS = 40
+KEY, VARIANTS = ["type", "label_norm"], 40
 
 
 def typed(events: DataFrame) -> DataFrame:
     """P1, P2. Events whose id has a known prefix, with their type."""
-    return events.withColumn("type", type_of_prefix(entity_prefix(F.col("ner_id")))).where("type is not null")
+    return events.withColumn("type", type_of_id(F.col("ner_id"))).where("type is not null")
 
 
 def entity_forms(events: DataFrame) -> DataFrame:
@@ -51,25 +51,26 @@ def labelled(ents: DataFrame, forms: DataFrame) -> DataFrame:
 
 
 def clusters(ents: DataFrame, forms: DataFrame) -> DataFrame:
-    """J2, A6-A10. One row for each (type, label_norm). Labelled entities are settled, as several branches read them; forms are cut to
-    those that a cluster keeps before they are gathered."""
-    key = ["type", "label_norm"]
+    """J2, A6-A10. One row for each (type, label_norm). Labelled entities are settled, as several branches read them."""
     known = settle(labelled(ents, forms))
-    votes = known.groupBy(*key, "label").agg(F.sum(F.greatest(F.lit(1), "mentions")).alias("w"), F.min("first_seen").alias("o"))
-    display = votes.groupBy(*key).agg(F.max(F.struct("w", (-F.col("o")).alias("o"), "label")).alias("x")).select(*key, "x.label")
-    ids = known.groupBy(*key).agg(
-        F.sum("mentions").alias("mentions"),
-        F.array_sort(F.collect_list("ner_id")).alias("ner_ids"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("docs")))).alias("source_docs"),
-    )
+    own = known.select(*KEY, "ner_id", F.col("first_seen").alias("e_seen")).join(forms.select("ner_id", "form", "cnt", "first_seen"), "ner_id")
+    docs = known.groupBy(*KEY).agg(F.sort_array(F.array_distinct(F.flatten(F.collect_set("docs")))).alias("source_docs"))
+    return _gathered(known, own, docs)
+
+
+def _gathered(known: DataFrame, own: DataFrame, docs: DataFrame) -> DataFrame:
+    """Clusters of labelled entities (type, label_norm, label, ner_id, mentions, first_seen), their forms (type, label_norm, form, cnt, e_seen,
+    first_seen) and the documents of each cluster. Forms are cut to those that a cluster keeps before they are gathered."""
+    votes = known.groupBy(*KEY, "label").agg(F.sum(F.greatest(F.lit(1), "mentions")).alias("w"), F.min("first_seen").alias("o"))
+    display = votes.groupBy(*KEY).agg(F.max(F.struct("w", (-F.col("o")).alias("o"), "label")).alias("x")).select(*KEY, "x.label")
+    ids = known.groupBy(*KEY).agg(F.sum("mentions").alias("mentions"), F.sort_array(F.collect_list("ner_id")).alias("ner_ids"))
     # forms, in the order in which a cluster first meets them: its entities' order, then their own
-    own = known.select(*key, "ner_id", F.col("first_seen").alias("e_seen")).join(forms.select("ner_id", "form", "cnt", "first_seen"), "ner_id")
-    merged = own.groupBy(*key, "form").agg(F.sum("cnt").alias("cnt"), F.min(F.struct("e_seen", "first_seen")).alias("o"))
-    of = Window.partitionBy(*key)
-    ranked = merged.select(*key, "form", F.row_number().over(of.orderBy(F.desc("cnt"), "o")).alias("nth"), F.count("*").over(of).alias("n_variants"))
+    merged = own.groupBy(*KEY, "form").agg(F.sum("cnt").alias("cnt"), F.min(F.struct("e_seen", "first_seen")).alias("o"))
+    of = Window.partitionBy(*KEY)
+    ranked = merged.select(*KEY, "form", F.row_number().over(of.orderBy(F.desc("cnt"), "o")).alias("nth"), F.count("*").over(of).alias("n_variants"))
     # the label may be among the first forms: one more than are kept
-    kept = ranked.where(F.col("nth") <= VARIANTS + 1).groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("nth", "form"))).alias("forms"), F.first("n_variants").cast("int").alias("n_variants"))
-    out = ids.join(display, key).join(kept, key)
+    kept = ranked.where(F.col("nth") <= VARIANTS + 1).groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("nth", "form"))).alias("forms"), F.first("n_variants").cast("int").alias("n_variants"))
+    out = ids.join(display, KEY).join(kept, KEY).join(docs, KEY)
     names = F.transform("forms", lambda x: x["form"])
     return out.select(
         "type", "label", "label_norm",
@@ -78,6 +79,31 @@ def clusters(ents: DataFrame, forms: DataFrame) -> DataFrame:
     )
 
 
+def counted(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Events by id, form and block of 64 documents, whose bits say which of them: all that clusters need, in one shuffle of the events and
+    without a sort; and the blocks with their documents. Both are settled; ids of unknown types go after that, not row by row before."""
+    docs = settle(events.select("doc").distinct()).withColumn("__at", F.monotonically_increasing_id())
+    docs = settle(docs.select("doc", F.shiftright("__at", 6).alias("block"), F.expr("shiftleft(1L, cast(__at % 64 as int))").alias("bit")))
+    rows = events.join(docs, "doc", "left")
+    seen = settle(rows.groupBy("ner_id", "form", "block").agg(F.count_if(F.col("kind") == "mention").alias("cnt"), F.min("seq").alias("first_seen"), F.bit_or("bit").alias("docs")))
+    return typed(seen), docs.groupBy("block").agg(F.collect_list(F.struct("bit", "doc")).alias("of_block"))
+
+
+def clusters_of(seen: DataFrame, blocks: DataFrame) -> DataFrame:
+    """A5, P3, J2, A6-A10. The same as `clusters`, of what `counted` gives."""
+    forms = seen.repartition("ner_id").groupBy("ner_id", "type", "form").agg(F.sum("cnt").alias("cnt"), F.min("first_seen").alias("first_seen"))
+    rank = F.when(F.col("form") != "", F.struct(label_score(F.col("form"), F.col("cnt")).alias("s"), (-F.col("first_seen")).alias("o"), "form"))
+    ents = forms.groupBy("ner_id", "type").agg(F.sum("cnt").alias("mentions"), F.min("first_seen").alias("first_seen"), F.max(rank)["form"].alias("label"))
+    known = settle(ents.withColumn("label_norm", norm_label(F.col("label")))).where("label <> '' and label_norm <> ''")  # named once, then filtered
+    own = seen.drop("type").join(known.select(*KEY, "ner_id", F.col("first_seen").alias("e_seen")), "ner_id")
+    own = own.groupBy(*KEY, "form", "block").agg(F.sum("cnt").alias("cnt"), F.min(F.struct("e_seen", "first_seen")).alias("at"), F.bit_or("docs").alias("docs"))
+    own = settle(own.select(*KEY, "form", "block", "cnt", "at.*", "docs"))
+    docs = own.where("docs is not null").groupBy(*KEY, "block").agg(F.bit_or("docs").alias("docs")).join(blocks, "block")
+    inside = F.filter("of_block", lambda x: F.col("docs").bitwiseAND(x["bit"]) != 0)
+    docs = docs.groupBy(*KEY).agg(F.sort_array(F.flatten(F.collect_list(F.transform(inside, lambda x: x["doc"])))).alias("source_docs"))
+    return _gathered(known, own.where("form <> ''"), docs)
+
+
 def totals(corpus: DataFrame, ents: DataFrame, found: DataFrame) -> DataFrame:
     """A13, K11, A22. files, entities, clusters, ids, types: one row."""
     files = corpus.agg(F.count_distinct("path").alias("files"))

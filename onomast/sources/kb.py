@@ -57,7 +57,7 @@ def claim_sets(claims: DataFrame) -> tuple[Column, ...]:
 
 def placed(rows: DataFrame) -> DataFrame:
     """The rows with `at`, their place in the table: what language and `ord` leave open goes to the row that comes first."""
-    return rows.withColumn("at", F.monotonically_increasing_id())
+    return rows if "at" in rows.columns else rows.withColumn("at", F.monotonically_increasing_id())
 
 
 def profile(names: DataFrame, claims: DataFrame, base: DataFrame) -> DataFrame:
